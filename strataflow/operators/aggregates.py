@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from strataflow.functions.columns import mean_of, money, safe_divide
+from strataflow.functions.sqltext import quoted, text
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -62,20 +63,27 @@ STATISTICS = [
 ]
 
 
-def statistic_aggregates(df: DataFrame, name: str, digits: int) -> dict[str, Column]:
-    """Aggregates of one column; text is also read as numbers where it can be."""
-    field, column = df.schema[name].dataType, F.col(f"`{name}`")
+# Text that reads as a number.  Testing it first keeps other text from costing an exception per cell.
+NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
+
+def statistic_aggregates(df: DataFrame, name: str, digits: int) -> dict[str, str]:
+    """SQL aggregates of one column; text is also read as numbers where it can be."""
+    field, column = df.schema[name].dataType, quoted(name)
     is_number, is_text = isinstance(field, NumericType), isinstance(field, StringType)
-    number = column.cast("double") if is_number else column.try_cast("double") if is_text else None
-    no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    no_number, no_text = "CAST(NULL AS DOUBLE)", "CAST(NULL AS STRING)"
+    number = column
+    if is_text:
+        number = f"IF({column} RLIKE '{NUMBER_PATTERN}', try_cast({column} AS DOUBLE), NULL)"
+    has_number = is_number or is_text
     return {
-        "n": F.count(column),
-        "mean": F.round(F.avg(number), digits) if number is not None else no_number,
-        "stddev": F.round(F.stddev_samp(number), digits) if number is not None else no_number,
-        "min_num": F.min(number) if is_number else no_number,
-        "max_num": F.max(number) if is_number else no_number,
-        "min_text": no_text if is_number else F.min(column).cast("string"),
-        "max_text": no_text if is_number else F.max(column).cast("string"),
+        "n": f"count({column})",
+        "mean": f"round(avg({number}), {digits})" if has_number else no_number,
+        "stddev": f"round(stddev_samp({number}), {digits})" if has_number else no_number,
+        "min_num": f"CAST(min({column}) AS DOUBLE)" if is_number else no_number,
+        "max_num": f"CAST(max({column}) AS DOUBLE)" if is_number else no_number,
+        "min_text": no_text if is_number else f"CAST(min({column}) AS STRING)",
+        "max_text": no_text if is_number else f"CAST(max({column}) AS STRING)",
     }
 
 
@@ -85,11 +93,10 @@ def column_statistics(df: DataFrame, columns: Sequence[str] | None = None, digit
     Means are rounded to ``digits``, because sums of doubles differ in the
     last places from run to run.
     """
-    columns = list(columns or df.columns)
-    parts = {name: statistic_aggregates(df, name, digits) for name in columns}
-    wide = df.agg(*[e.alias(f"{i}_{m}") for i, name in enumerate(columns) for m, e in parts[name].items()])
-    rows = [
-        F.struct(F.lit(name).alias("column_name"), *[F.col(f"{i}_{m}").alias(m) for m in parts[name]])
-        for i, name in enumerate(columns)
-    ]
-    return wide.select(F.inline(F.array(*rows)))
+    aggregates, rows = [], []
+    for i, name in enumerate(columns or df.columns):
+        measures = statistic_aggregates(df, name, digits)
+        aggregates += [f"{e} AS _s{i}_{m}" for m, e in measures.items()]
+        cells = ", ".join(f"'{m}', _s{i}_{m}" for m in measures)
+        rows.append(f"named_struct('column_name', {text(name)}, {cells})")
+    return df.selectExpr(*aggregates).selectExpr(f"inline(array({', '.join(rows)}))")

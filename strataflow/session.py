@@ -12,6 +12,8 @@ from pyspark.sql import SparkSession
 # choice: on a cluster start high (a few thousand) and let adaptive execution
 # merge small partitions.
 SESSION_CONF = {
+    # Recording the Python line of every column costs more than building the plan of a wide table.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -6,19 +6,21 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import SparkSession
 
+from strataflow.functions.sqltext import quoted, text
 
-def _quoted(*names: str) -> str:
-    return ".".join("`" + n.replace("`", "``") + "`" for n in names)
+
+def _path(*names: str) -> str:
+    return ".".join(quoted(n) for n in names)
 
 
 def _literal(value: object) -> str:
-    return str(value) if isinstance(value, int) else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value) if isinstance(value, int) else text(str(value))
 
 
 def create_database(spark: SparkSession, name: str, comment: str = "", location: str | None = None) -> None:
     """Create the database unless it exists."""
     where = f" LOCATION {_literal(location)}" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(name)} COMMENT {_literal(comment)}{where}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_path(name)} COMMENT {_literal(comment)}{where}")
 
 
 def create_external_table(
@@ -31,21 +33,21 @@ def create_external_table(
 ) -> None:
     """Declare a Parquet table over files at ``location``; by default partitioned by integer year, month, day."""
     parts = dict(partition_columns or {"year": "INT", "month": "INT", "day": "INT"})
-    fields = ", ".join(f"{_quoted(n)} {t}" for n, t in {**columns, **parts}.items())
-    keys = ", ".join(_quoted(n) for n in parts)
+    fields = ", ".join(f"{_path(n)} {t}" for n, t in {**columns, **parts}.items())
+    keys = ", ".join(_path(n) for n in parts)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {_quoted(database, table)} ({fields}) "
+        f"CREATE TABLE IF NOT EXISTS {_path(database, table)} ({fields}) "
         f"USING PARQUET PARTITIONED BY ({keys}) LOCATION {_literal(location)}"
     )
 
 
 def add_partitions(spark: SparkSession, database: str, table: str, partitions: Sequence[Mapping[str, object]]) -> None:
     """Make partitions known to the catalog, many in one statement; known ones stay as they are."""
-    specs = ["PARTITION (" + ", ".join(f"{_quoted(k)} = {_literal(v)}" for k, v in p.items()) + ")" for p in partitions]
+    specs = ["PARTITION (" + ", ".join(f"{_path(k)} = {_literal(v)}" for k, v in p.items()) + ")" for p in partitions]
     if specs:
-        spark.sql(f"ALTER TABLE {_quoted(database, table)} ADD IF NOT EXISTS " + " ".join(specs))
+        spark.sql(f"ALTER TABLE {_path(database, table)} ADD IF NOT EXISTS " + " ".join(specs))
 
 
 def recover_partitions(spark: SparkSession, database: str, table: str) -> None:
     """Register every partition folder found at the table's location."""
-    spark.sql(f"ALTER TABLE {_quoted(database, table)} RECOVER PARTITIONS")
+    spark.sql(f"ALTER TABLE {_path(database, table)} RECOVER PARTITIONS")
