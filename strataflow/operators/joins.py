@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,22 +35,22 @@ def balanced_join(
     key_frequencies_from: DataFrame | None = None,
     min_rows: int = HEAVY_KEY_ROWS,
     splits: int = HEAVY_KEY_SPLITS,
-    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """``facts`` joined to ``lookup`` on ``key`` for ``how`` in left, inner, left_anti, left_semi.
 
-    The rows of a heavy key get one of ``splits`` salts from a hash of their
-    columns (``spread_by``, all by default), and the lookup rows of that key
-    are repeated once per salt.  The repetition is bounded: the list of heavy
-    keys is.  Fact rows with a null key match nothing and are spread likewise.
-    The hash, unlike a random number, gives the same salt when a task reruns.
+    The rows of a heavy key get one of ``splits`` salts, and the lookup rows of
+    that key are repeated once per salt.  The repetition is bounded: the list
+    of heavy keys is.  Fact rows with a null key match nothing and are spread
+    likewise.  The salt is a hash of the row and of the task it is read in, so
+    exact copies spread too, and a task that reruns gives the same salts, which
+    random numbers would not.
 
     ``key_frequencies_from`` is a cheaper frame with the same keys to count
     (bronze files, say, of which only the key column is read).
     """
     source = facts if key_frequencies_from is None else key_frequencies_from
     heavy = F.broadcast(heavy_keys(source, key, min_rows).withColumn("_heavy", F.lit(True)))
-    spread = F.pmod(F.xxhash64(*(spread_by or facts.columns)), F.lit(splits)).cast("int")
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *facts.columns), F.lit(splits)).cast("int")
     salted_facts = facts.join(heavy, key, "left").withColumn(
         "_salt", F.when(F.col("_heavy") | F.col(key).isNull(), spread).otherwise(F.lit(0))
     )

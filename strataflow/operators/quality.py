@@ -282,6 +282,11 @@ def table_report(df: DataFrame, dataset: str) -> DataFrame:
 # ---- roll-ups of results ---------------------------------------------------
 
 
+def check_totals(results: DataFrame) -> DataFrame:
+    """How often each check of a dataset came out as PASS, WARN or FAIL."""
+    return results.groupBy("dataset", "check_name", "status").agg(F.count(F.lit(1)).alias("n_checks"))
+
+
 def dataset_outcomes(results: DataFrame) -> DataFrame:
     """One row per dataset: it passes if no check of it failed (a warning does not fail it)."""
     return results.groupBy("dataset").agg(

@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from strataflow.contracts import BRONZE_DATASETS
+from strataflow.operators.calendar import add_ingestion_columns
 from strataflow.sources.delimited import scan_delimited
-from strataflow.sources.layers import WriteAudit, audited_write, layer_path, read_layer
+from strataflow.sources.layers import WriteAudit, audited_write, layer_path, read_day, read_layer
 
-
-def ingest_dataset(
-    spark: SparkSession, landing_file: str, base: str, dataset: str, schema: str, **scan
-) -> WriteAudit:
-    return audited_write(
-        scan_delimited(spark, landing_file, schema, **scan), layer_path(base, "bronze", dataset), "bronze", dataset
-    )
+INGESTION_PARTS = ["ingestion_year", "ingestion_month", "ingestion_day"]
 
 
 def ingest_bronze(
@@ -24,14 +20,28 @@ def ingest_bronze(
     landing: str,
     base: str,
     datasets: Sequence[tuple[str, str, str]] = BRONZE_DATASETS,
+    run_day: dt.date | None = None,
     **scan,
 ) -> list[WriteAudit]:
-    """Ingest every landing file; each is one Spark job that parses, writes and counts."""
-    return [
-        ingest_dataset(spark, f"{landing.rstrip('/')}/{file}", base, dataset, schema, **scan)
-        for dataset, file, schema in datasets
-    ]
-
-
-def read_bronze(spark: SparkSession, base: str, dataset: str) -> DataFrame:
-    return read_layer(spark, layer_path(base, "bronze", dataset))
+    """Ingest every landing file; each is one Spark job that parses, writes and counts.
+
+    Each run replaces the whole dataset.  With ``run_day`` it adds the
+    ingestion columns and replaces that day's partition only.
+    """
+    audits = []
+    for dataset, file, schema in datasets:
+        rows = scan_delimited(spark, f"{landing.rstrip('/')}/{file}", schema, **scan)
+        parts: list[str] = []
+        if run_day is not None:
+            rows, parts = add_ingestion_columns(rows, run_day), INGESTION_PARTS
+        path = layer_path(base, "bronze", dataset)
+        audits.append(audited_write(rows, path, "bronze", dataset, replace_partitions=parts))
+    return audits
+
+
+def read_bronze(spark: SparkSession, base: str, dataset: str, run_day: dt.date | None = None) -> DataFrame:
+    """A bronze dataset; with ``run_day`` the partition of that day, without its ingestion columns."""
+    path = layer_path(base, "bronze", dataset)
+    if run_day is None:
+        return read_layer(spark, path)
+    return read_day(spark, path, run_day, INGESTION_PARTS).drop(*INGESTION_PARTS, "ingestion_timestamp")

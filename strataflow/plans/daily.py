@@ -7,6 +7,10 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import time
+import uuid
+from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import SparkSession
 
@@ -17,19 +21,27 @@ from strataflow.plans.silver import silver_contracts
 from strataflow.session import build_session
 from strataflow.sources.layers import (
     WriteAudit,
-    audit_frame,
     audited_write,
     layer_path,
+    overwrite_partitions,
     read_layer,
     rebalanced,
-    write_layer,
+    set_target_file_size,
 )
 
+RUN_LOG = (
+    "run_date DATE, run_id STRING, event_ts TIMESTAMP, job_name STRING, status STRING, error STRING, "
+    "duration_seconds DECIMAL(12,2), records_in LONG, records_out LONG"
+)
+WRITE_LOG = "run_date DATE, run_id STRING, layer STRING, dataset STRING, n_rows LONG, seconds DOUBLE, status STRING"
+LINEAGE_LOG = "run_date DATE, run_id STRING, source STRING, target STRING, n_rows LONG"
+
 
-def run_silver(spark: SparkSession, base: str, as_of: dt.date) -> WriteAudit:
-    bronze = [read_bronze(spark, base, name) for name in ("Contrat2", "Contrat1", "Client")]
+def run_silver(spark: SparkSession, base: str, as_of: dt.date, by_day: bool = False) -> list[WriteAudit]:
+    day = as_of if by_day else None
+    bronze = [read_bronze(spark, base, name, day) for name in ("Contrat2", "Contrat1", "Client")]
     silver = rebalanced(silver_contracts(*bronze, as_of=as_of))
-    return audited_write(silver, layer_path(base, "silver", SILVER_DATASET), "silver", SILVER_DATASET)
+    return [audited_write(silver, layer_path(base, "silver", SILVER_DATASET), "silver", SILVER_DATASET)]
 
 
 def run_gold(spark: SparkSession, base: str) -> list[WriteAudit]:
@@ -44,38 +56,93 @@ def run_gold(spark: SparkSession, base: str) -> list[WriteAudit]:
     ]
 
 
-def run_day(spark: SparkSession, landing: str, base: str, as_of: dt.date, **scan) -> list[WriteAudit]:
-    """All three layers in order; the first failure ends the run.
+class RunJournal:
+    """Collects what the jobs of one run did; a handful of rows, written once at the end.
 
-    The audits of a run are added to the run log below ``base``, those of the
-    layers done before a failure too, with one row for the failed layer.
+    The logs are partitioned by run date, and a run for the same date replaces
+    that date's rows.
     """
-    audits: list[WriteAudit] = []
-    steps = [
-        ("bronze", lambda: ingest_bronze(spark, landing, base, **scan)),
-        ("silver", lambda: [run_silver(spark, base, as_of)]),
-        ("gold", lambda: run_gold(spark, base)),
-    ]
-    layer = "bronze"
+
+    def __init__(self, as_of: dt.date):
+        self.as_of, self.run_id = as_of, uuid.uuid4().hex
+        self.runs: list[tuple] = []
+        self.writes: list[tuple] = []
+        self.edges: list[tuple] = []
+
+    def job(
+        self, name: str, sources: list[str], rows_in: int | None, work: Callable[[], list[WriteAudit]]
+    ) -> list[WriteAudit]:
+        at, started = dt.datetime.now(dt.timezone.utc), time.monotonic()
+        audits, status, error = [], "SUCCESS", None
+        try:
+            audits = work()
+        except Exception as failure:
+            status, error = "FAILURE", type(failure).__name__
+            raise
+        finally:
+            seconds = Decimal(str(round(time.monotonic() - started, 2)))
+            rows_out = sum(a.rows for a in audits)
+            head = (self.as_of, self.run_id)
+            self.runs.append((*head, at, name, status, error, seconds, rows_in, rows_out))
+            self.writes += [(*head, a.layer, a.dataset, a.rows, a.seconds, a.status) for a in audits]
+            for a in audits:
+                # A landing file feeds the bronze dataset of its own name only.
+                feeding = [s for s in sources if a.layer != "bronze" or s.split("/")[-1] == f"{a.dataset}.csv"]
+                self.edges += [(*head, source, f"{a.layer}/{a.dataset}", a.rows) for source in feeding]
+        return audits
+
+    def save(self, spark: SparkSession, base: str) -> None:
+        for name, schema, rows in [
+            ("run_log", RUN_LOG, self.runs),
+            ("write_log", WRITE_LOG, self.writes),
+            ("lineage", LINEAGE_LOG, self.edges),
+        ]:
+            if rows:
+                log = spark.createDataFrame(rows, schema)
+                overwrite_partitions(log, layer_path(base, "logs", name), ["run_date"])
+
+
+def run_day(
+    spark: SparkSession, landing: str, base: str, as_of: dt.date, by_day: bool = False, **scan
+) -> list[WriteAudit]:
+    """All three layers in order; the first failure ends the run, and is in the log like the jobs before it.
+
+    With ``by_day`` the bronze layer keeps earlier days beside the one loaded.
+    """
+    journal = RunJournal(as_of)
+    names = ["Contrat2", "Contrat1", "Client"]
     try:
-        for layer, step in steps:
-            audits += step()
-    except Exception as error:
-        audits.append(WriteAudit(layer, type(error).__name__, 0, 0.0, "FAILURE"))
-        raise
+        bronze = journal.job(
+            "bronze_ingest",
+            [f"landing/{n}.csv" for n in names],
+            None,
+            lambda: ingest_bronze(spark, landing, base, run_day=as_of if by_day else None, **scan),
+        )
+        silver = journal.job(
+            "silver_transform",
+            [f"bronze/{n}" for n in names],
+            sum(a.rows for a in bronze),
+            lambda: run_silver(spark, base, as_of, by_day),
+        )
+        gold = journal.job(
+            "gold_transform", [f"silver/{SILVER_DATASET}"], silver[0].rows, lambda: run_gold(spark, base)
+        )
     finally:
-        write_layer(audit_frame(spark, audits), layer_path(base, "logs", "run_log"), mode="append", files=1)
-    return audits
+        journal.save(spark, base)
+    return bronze + silver + gold
 
 
 def main(argv: list[str] | None = None) -> int:
-    parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("--landing", required=True)
-    parser.add_argument("--base", required=True)
+    parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
+    parser.add_argument("--landing", required=True, help="folder with the delimited files")
+    parser.add_argument("--base", required=True, help="folder of the bronze, silver, gold and logs layers")
     parser.add_argument("--execution-date", type=dt.date.fromisoformat, default=dt.date.today())
+    parser.add_argument("--by-day", action="store_true", help="replace only this date in the bronze layer")
+    parser.add_argument("--file-size-mb", type=int, default=128, help="size of the files to aim at")
     args = parser.parse_args(argv)
     spark = build_session("strataflow-daily")
-    for audit in run_day(spark, args.landing, args.base, args.execution_date):
+    set_target_file_size(spark, args.file_size_mb)
+    for audit in run_day(spark, args.landing, args.base, args.execution_date, args.by_day):
         print(f"{audit.layer}/{audit.dataset}: {audit.rows} rows in {audit.seconds:.1f} s")
     return 0
 

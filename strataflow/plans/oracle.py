@@ -254,6 +254,28 @@ _CONTRACT_KEY = "nusoc, nucon"
 _LANDED = ", ".join(f"{'TRY_CAST(prmaco AS DOUBLE)' if n == 'prmaco' else f'CAST({n} AS {t})'} AS {n}" for n, t in CONTRACT_TYPES.items())
 
 
+def _table_report() -> str:
+    rows = [
+        _result("Client", "total_rows", "total", "'PASS'") + " FROM counted",
+        _result("Client", "columns", "18", "'PASS'", detail=f"'{','.join(CLIENT_TYPES)}'"),
+        *_null_rows("Client", "client", CLIENT_TYPES),
+    ]
+    return f"SELECT * FROM (WITH counted AS {_counted('client', CLIENT_TYPES)}\n{_all(rows)})"
+
+
+def _contract_nulls() -> str:
+    rows = _null_rows("Contrat2", "contrat2", CONTRACT_NAMES)
+    return f"SELECT * FROM (WITH counted AS {_counted('contrat2', CONTRACT_NAMES)}\n{_all(rows)})"
+
+
+def _check_totals() -> str:
+    return _with(
+        ["contrat2", "client"],
+        f"""SELECT dataset, check_name, status, count(*) AS n_checks
+  FROM ({_contract_nulls()} UNION ALL {_table_report()}) GROUP BY 1, 2, 3""",
+    )
+
+
 def _pass_rate() -> str:
     keys = {"contrat2": ["nusoc", "nucon"], "contrat1": ["nusoc", "nucon"], "client": ["nusoc"], "run_log": ["run_id"]}
     rows = []
@@ -382,14 +404,7 @@ ORACLE: dict[str, str] = {
     ),
     # data quality
     "dq_row_count": _with(["contrat2"], _row_count("Contrat2", "contrat2")),
-    "dq_null_profile": _with(
-        ["contrat2"],
-        "SELECT * FROM (WITH counted AS "
-        + _counted("contrat2", CONTRACT_NAMES)
-        + "\n"
-        + _all(_null_rows("Contrat2", "contrat2", CONTRACT_NAMES))
-        + ")",
-    ),
+    "dq_null_profile": _with(["contrat2"], _contract_nulls()),
     "dq_critical_nulls": _with(["contrat2"], _critical("Contrat2", "contrat2", ["nusoc", "nucon", "prmaco", "etatco"])),
     "dq_row_duplicates": _with(
         ["quality_input"],
@@ -431,20 +446,8 @@ ORACLE: dict[str, str] = {
             ]
         ),
     ),
-    "dq_table_report": _with(
-        ["client"],
-        "SELECT * FROM (WITH counted AS "
-        + _counted("client", CLIENT_TYPES)
-        + "\n"
-        + _all(
-            [
-                _result("Client", "total_rows", "total", "'PASS'") + " FROM counted",
-                _result("Client", "columns", "18", "'PASS'", detail=f"'{','.join(CLIENT_TYPES)}'"),
-                *_null_rows("Client", "client", CLIENT_TYPES),
-            ]
-        )
-        + ")",
-    ),
+    "dq_table_report": _with(["client"], _table_report()),
+    "dq_check_totals": _check_totals(),
     "dq_pass_rate": _pass_rate(),
     "dq_expectations": _with(
         ["client"],

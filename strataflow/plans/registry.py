@@ -386,6 +386,11 @@ def dq_expectations(spark, sf_dir):
     return quality.run_checks(clients, "Client", suite)
 
 
+@_query
+def dq_check_totals(spark, sf_dir):
+    return quality.check_totals(dq_null_profile(spark, sf_dir).unionByName(dq_table_report(spark, sf_dir)))
+
+
 @_query
 def dq_key_unique(spark, sf_dir):
     return quality.key_unique(view(spark, sf_dir, "client"), [c.CLIENT_KEY], "Client")
@@ -393,9 +398,10 @@ def dq_key_unique(spark, sf_dir):
 
 @_query
 def dq_layer_growth(spark, sf_dir):
-    return quality.layer_growth(
-        view(spark, sf_dir, "contrat2"), dedup_contracts(spark, sf_dir), c.SILVER_DATASET, names=("bronze", "silver")
-    )
+    bronze_rows, older = view(spark, sf_dir, "contrat2"), view(spark, sf_dir, "contrat1")
+    # Silver has one row per contract key, so its rows are counted as distinct keys: two columns are moved, not 43.
+    keys = union_sources(*[silver.conform(source).select(*c.CONTRACT_KEY) for source in (bronze_rows, older)])
+    return quality.layer_growth(bronze_rows, keys.distinct(), c.SILVER_DATASET, names=("bronze", "silver"))
 
 
 @_query

@@ -70,7 +70,6 @@ def attach_clients(
         c.CLIENT_KEY,
         key_frequencies_from=key_frequencies_from,
         min_rows=min_heavy_rows,
-        spread_by=[n for n in c.CONTRACT_KEY if n != c.CLIENT_KEY],
     )
     return derive_client_age(joined, as_of)
 

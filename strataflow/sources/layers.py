@@ -72,20 +72,40 @@ class WriteAudit:
 
 
 def audited_write(
-    df: DataFrame, path: str, layer: str, dataset: str, mode: str = "overwrite", files: int | None = None
+    df: DataFrame,
+    path: str,
+    layer: str,
+    dataset: str,
+    mode: str = "overwrite",
+    files: int | None = None,
+    replace_partitions: Sequence[str] = (),
 ) -> WriteAudit:
     """Write and count in the same job, so that nothing is computed or read twice.
 
     The count sits in the final stage, next to the writer: a shuffle stage that
     runs again after an executor was lost cannot count its rows a second time.
+    With ``replace_partitions`` only the folders the rows belong to are replaced.
     """
     seen = Observation(f"{layer}/{dataset}")
     started = time.monotonic()
     out = df if files is None else df.coalesce(files)
-    out.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.mode(mode).parquet(path)
+    writer = out.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.mode(mode)
+    if replace_partitions:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*replace_partitions)
+    writer.parquet(path)
     return WriteAudit(layer, dataset, int(seen.get["n_rows"]), time.monotonic() - started)
 
 
+def set_target_file_size(spark: SparkSession, megabytes: int = 128) -> None:
+    """The partition size :func:`rebalanced` aims at, for the writes of this session.
+
+    Small partitions are then merged up to that size, even if fewer tasks than
+    cores are left.
+    """
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", f"{megabytes}m")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+
+
 def audit_frame(spark: SparkSession, audits: Sequence[WriteAudit]) -> DataFrame:
     """The audits as a table: one row per dataset written."""
     rows = [(a.layer, a.dataset, a.rows, a.seconds, a.status) for a in audits]
