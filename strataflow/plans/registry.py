@@ -481,11 +481,11 @@ def kpi_window_1d(spark, sf_dir):
 @_query
 def kpi_stream_1d(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
-    log = view_over(spark, "run_log", kpis.stream_files(spark, sf_dir, schema, "events.parquet"))
+    arriving = view_over(spark, "run_log", kpis.stream_files(spark, sf_dir, schema, "events.parquet"))
     out = scratch_path(spark, "kpis")
-    kpis.start_kpis(log, "1 day", out, scratch_path(spark, "kpis-state")).awaitTermination()
+    kpis.start_kpis(arriving, "1 day", out, scratch_path(spark, "kpis-state")).awaitTermination()
     bounds = {n: F.col(n).cast("timestamp_ntz") for n in ("window_start", "window_end")}
-    return kpis.current_kpis(spark, out).withColumns(bounds)
+    return kpis.current_kpis(spark, view(spark, sf_dir, "run_log"), "1 day", out).withColumns(bounds)
 
 
 @_query

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from strataflow.operators.dedup import keep_first
 from strataflow.operators.runlog import windowed_kpis
 
 
@@ -16,31 +15,37 @@ def stream_files(spark: SparkSession, folder: str, schema: StructType, name_patt
     return spark.readStream.schema(schema).option("pathGlobFilter", name_pattern).parquet(folder)
 
 
-def start_kpis(log: DataFrame, width: str, out: str, checkpoint: str, lateness: str = "1 hour") -> StreamingQuery:
-    """Keep the KPIs of every window up to date below ``out``; runs until the present input is used up.
+def _timed(log: DataFrame) -> DataFrame:
+    return log.withColumn("event_ts", F.col("event_ts").cast("timestamp"))
 
-    A window's totals live in the state store until the watermark passes it.
-    Each batch writes the windows it changed into a folder of its own number,
-    and replaces that folder if the batch runs again, so a restart neither
-    loses nor repeats anything.
-    """
-    timed = log.withColumn("event_ts", F.col("event_ts").cast("timestamp")).withWatermark("event_ts", lateness)
 
-    def store(batch: DataFrame, number: int) -> None:
-        changed = batch.withColumn("batch", F.lit(number))
-        changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(out)
+def start_kpis(log: DataFrame, width: str, out: str, checkpoint: str, lateness: str = "1 hour") -> StreamingQuery:
+    """Append the KPIs of each window to ``out`` once the window can get no more rows.
 
+    A window's totals live in the state store until the watermark (``lateness``
+    behind the latest event) has passed it, and are then written exactly once
+    and forgotten, so the state stays small however long the log grows.  The
+    query ends when the present input is used up; started again with the same
+    checkpoint it goes on from there.
+    """
     return (
-        windowed_kpis(timed, width)
-        .writeStream.outputMode("update")
+        windowed_kpis(_timed(log).withWatermark("event_ts", lateness), width)
+        .writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", out)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(store)
         .start()
     )
 
 
-def current_kpis(spark: SparkSession, out: str) -> DataFrame:
-    """The latest state of each window and job among what the batches wrote."""
-    changes = spark.read.parquet(out)
-    return keep_first(changes, ["window_start", "job_name"], [F.desc("batch")]).drop("batch")
+def current_kpis(spark: SparkSession, log: DataFrame, width: str, out: str) -> DataFrame:
+    """All windows to this moment: the closed ones as stored, the open ones from the log's recent rows.
+
+    Of the log only rows after the last closed window are aggregated; the
+    bound is a scalar subquery, so the scan can skip older row groups.
+    """
+    live = _timed(log)
+    closed = spark.read.schema(windowed_kpis(live, width).schema).parquet(out)
+    last_closed = closed.select(F.coalesce(F.max("window_end"), F.timestamp_seconds(F.lit(0)))).scalar()
+    return closed.unionByName(windowed_kpis(live.where(F.col("event_ts") >= last_closed), width))

@@ -78,3 +78,28 @@ def test_heavy_list_is_bounded(spark):
     df = spark.range(100).select((F.col("id") % 10).alias("k"))
     assert heavy_keys(df, "k", min_rows=1, at_most=3).count() == 3
     assert heavy_keys(df, "k", min_rows=11).count() == 0
+
+
+def test_keys_below_the_heavy_limit_are_left_to_adaptive_execution(spark):
+    """Both sides come straight from a shuffle, even after a dedup of the lookup, so a skewed join can be split."""
+    facts = spark.range(60_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id").cast("int")).alias("k"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"),
+    )
+    lookup = dedup_by_priority(["k"], spark.range(60_000).select(F.col("id").cast("int").alias("k"), "id"))
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+    }
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        joined = balanced_join(facts, lookup, "k")
+        assert len(joined.collect()) == 60_000
+        assert "SortMergeJoin(skew=true)" in plan_of(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -137,10 +137,23 @@ def test_histogram_is_cumulative(spark):
 
 def test_stream_over_two_arrivals_equals_the_batch(spark, base):
     log = view(spark, SF, "run_log").withColumn("event_ts", F.col("event_ts").cast("timestamp"))
-    early = log.where("event_ts < '2024-01-15'")
     folder, out, state = f"{base}/in", f"{base}/out", f"{base}/state"
-    for part in (early, log.where("event_ts >= '2024-01-15'")):
+    closed = []
+    for part in (log.where("event_ts < '2024-01-15'"), log.where("event_ts >= '2024-01-15'")):
         part.coalesce(1).write.mode("append").parquet(folder)
-        stream = kpis.stream_files(spark, folder, log.schema)
-        kpis.start_kpis(stream, "1 day", out, state).awaitTermination()
-    assert rows(kpis.current_kpis(spark, out)) == rows(runlog.windowed_kpis(log, "1 day"))
+        kpis.start_kpis(kpis.stream_files(spark, folder, log.schema), "1 day", out, state).awaitTermination()
+        arrived = spark.read.parquet(folder)
+        batch = rows(runlog.windowed_kpis(arrived, "1 day"))
+        assert rows(kpis.current_kpis(spark, arrived, "1 day", out)) == batch
+        closed.append(spark.read.parquet(out).count())
+        assert 0 < closed[-1] < len(batch)
+    assert closed[0] < closed[1]
+
+
+def test_kpis_before_any_window_has_closed(spark, base):
+    log = view(spark, SF, "run_log").withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+    log.where("event_ts < '2024-01-01 12:00:00'").write.parquet(f"{base}/in")
+    stream = kpis.stream_files(spark, f"{base}/in", log.schema)
+    kpis.start_kpis(stream, "1 day", f"{base}/out", f"{base}/state").awaitTermination()
+    arrived = spark.read.parquet(f"{base}/in")
+    assert rows(kpis.current_kpis(spark, arrived, "1 day", f"{base}/out")) == rows(runlog.windowed_kpis(arrived, "1 day"))
