@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,14 +68,24 @@ STATISTICS = [
 NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 
+def number_in_text(df: DataFrame, name: str) -> dict[str, str]:
+    """The column that holds a text column's numbers, as SQL; nothing for other columns.
+
+    It goes into a projection below the aggregation, so that a cell is tested
+    and parsed once for the mean and the deviation together.
+    """
+    if not isinstance(df.schema[name].dataType, StringType):
+        return {}
+    column = quoted(name)
+    return {f"_number_{name}": f"IF({column} RLIKE '{NUMBER_PATTERN}', try_cast({column} AS DOUBLE), NULL)"}
+
+
 def statistic_aggregates(df: DataFrame, name: str, digits: int) -> dict[str, str]:
-    """SQL aggregates of one column; text is also read as numbers where it can be."""
+    """SQL aggregates of one column; text is also read as numbers, from :func:`number_in_text`."""
     field, column = df.schema[name].dataType, quoted(name)
     is_number, is_text = isinstance(field, NumericType), isinstance(field, StringType)
     no_number, no_text = "CAST(NULL AS DOUBLE)", "CAST(NULL AS STRING)"
-    number = column
-    if is_text:
-        number = f"IF({column} RLIKE '{NUMBER_PATTERN}', try_cast({column} AS DOUBLE), NULL)"
+    number = quoted(f"_number_{name}") if is_text else column
     has_number = is_number or is_text
     return {
         "n": f"count({column})",
@@ -87,16 +98,39 @@ def statistic_aggregates(df: DataFrame, name: str, digits: int) -> dict[str, str
     }
 
 
-def column_statistics(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 4) -> DataFrame:
-    """Count, mean, standard deviation, minimum and maximum: one row per column, one scan in all.
+def with_columns_sql(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr("*", *[f"{e} AS {quoted(name)}" for name, e in columns.items()]) if columns else df
 
-    Means are rounded to ``digits``, because sums of doubles differ in the
-    last places from run to run.
+
+def apart_by_type(df: DataFrame) -> list[DataFrame]:
+    """The table's text columns and its other columns, as frames to aggregate separately.
+
+    The extremes of text cannot live in a hash aggregation's buffer, and would
+    take the numeric aggregates of the same step down the slower path with
+    them.  Of a stored table each column is still read just once.
     """
-    aggregates, rows = [], []
-    for i, name in enumerate(columns or df.columns):
+    text_columns = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    groups = [[n for n in df.columns if n not in text_columns], text_columns]
+    return [df.select(*[quoted(n) for n in group]) for group in groups if group]
+
+
+def _statistics_rows(df: DataFrame, digits: int) -> DataFrame:
+    numbers, aggregates, rows = {}, [], []
+    for i, name in enumerate(df.columns):
+        numbers.update(number_in_text(df, name))
         measures = statistic_aggregates(df, name, digits)
         aggregates += [f"{e} AS _s{i}_{m}" for m, e in measures.items()]
         cells = ", ".join(f"'{m}', _s{i}_{m}" for m in measures)
         rows.append(f"named_struct('column_name', {text(name)}, {cells})")
-    return df.selectExpr(*aggregates).selectExpr(f"inline(array({', '.join(rows)}))")
+    wide = with_columns_sql(df, numbers).selectExpr(*aggregates)
+    return wide.selectExpr(f"inline(array({', '.join(rows)}))")
+
+
+def column_statistics(df: DataFrame, digits: int = 4) -> DataFrame:
+    """Count, mean, standard deviation, minimum and maximum: one row per column, each column read once.
+
+    Means are rounded to ``digits``, because sums of doubles differ in the
+    last places from run to run.  Meant for stored tables: a long plan would
+    run for the text columns and for the others.
+    """
+    return reduce(DataFrame.union, [_statistics_rows(part, digits) for part in apart_by_type(df)])

@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,22 +25,28 @@ from pyspark.sql.types import StringType
 
 from strataflow.functions.columns import any_null, safe_divide
 from strataflow.functions.sqltext import quoted, text
-from strataflow.operators.aggregates import STATISTICS, statistic_aggregates
+from strataflow.operators.aggregates import (
+    STATISTICS,
+    apart_by_type,
+    number_in_text,
+    statistic_aggregates,
+    with_columns_sql,
+)
 from strataflow.operators.projections import sample_rows
 
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
 RESULT_COLUMNS = ["dataset", "check_name", "column_name", "value", "detail", "status"]
 
 
-def _row(check: str, value: str, status: str, column: str | None = None, detail: str = "NULL") -> str:
-    return (
-        f"named_struct('check_name', {text(check)}, 'column_name', CAST({text(column)} AS STRING), "
-        f"'value', CAST({value} AS DOUBLE), 'detail', CAST({detail} AS STRING), 'status', {status})"
-    )
+def _row(check: str, value: str, status: str, column: str | None = None, detail: str = "") -> str:
+    name = text(column) if column is not None else "CAST(NULL AS STRING)"
+    detail = f"CAST({detail} AS STRING)" if detail else "CAST(NULL AS STRING)"
+    return f"struct({text(check)}, {name}, CAST({value} AS DOUBLE), {detail}, {status})"
 
 
 def _long(wide: DataFrame, dataset: str, rows: Sequence[str], *kept: str) -> DataFrame:
-    return wide.selectExpr(*kept, f"{text(dataset)} AS dataset", f"inline(array({', '.join(rows)}))")
+    fields = ", ".join(RESULT_COLUMNS[1:])
+    return wide.selectExpr(*kept, f"{text(dataset)} AS dataset", f"inline(array({', '.join(rows)})) AS ({fields})")
 
 
 def unless(bad: str, severity: str) -> str:
@@ -55,13 +62,15 @@ def _percentage(part: str, whole: str) -> str:
 class Check:
     aggregates: dict[str, str] = field(default_factory=dict)
     rows: list[str] = field(default_factory=list)
+    columns: dict[str, str] = field(default_factory=dict)  # computed per row, below the aggregation
 
 
 def run_checks(df: DataFrame, dataset: str, checks: Sequence[Check]) -> DataFrame:
-    aggregates = {"_total": "count(1)"}
+    aggregates, columns = {"_total": "count(1)"}, {}
     for check in checks:
         aggregates.update(check.aggregates)
-    wide = df.selectExpr(*[f"{e} AS {quoted(name)}" for name, e in aggregates.items()])
+        columns.update(check.columns)
+    wide = with_columns_sql(df, columns).selectExpr(*[f"{e} AS {quoted(name)}" for name, e in aggregates.items()])
     return _long(wide, dataset, [row for check in checks for row in check.rows])
 
 
@@ -193,10 +202,11 @@ def statistics(df: DataFrame, digits: int = 4) -> Check:
     """Count, mean, deviation, minimum and maximum of every column; text extremes stand in ``detail``."""
     check = Check()
     for i, name in enumerate(df.columns):
+        check.columns.update(number_in_text(df, name))
         measures = statistic_aggregates(df, name, digits)
         check.aggregates.update({f"_s{i}_{m}": e for m, e in measures.items()})
         for label, number, words in STATISTICS:
-            detail = f"_s{i}_{words}" if words else "NULL"
+            detail = f"_s{i}_{words}" if words else ""
             check.rows.append(_row(label, f"_s{i}_{number}", text(PASS), name, detail))
     return check
 
@@ -255,8 +265,16 @@ def validate_bronze(df: DataFrame, dataset: str, **fresh) -> DataFrame:
 
 
 def validate_silver(df: DataFrame, dataset: str, digits: int = 4) -> DataFrame:
-    """Row count, statistics and null analysis of every column, in one scan.  An empty table fails."""
-    return run_checks(df, dataset, [non_empty(), null_profile(df.columns), statistics(df, digits)])
+    """Row count, statistics and null analysis of every column.  An empty table fails.
+
+    Meant for a stored table, of which each column is read once: text columns
+    and the others are aggregated apart.
+    """
+    results = []
+    for part in apart_by_type(df):
+        checks = [null_profile(part.columns), statistics(part, digits)]
+        results.append(run_checks(part, dataset, checks if results else [non_empty(), *checks]))
+    return reduce(DataFrame.union, results)
 
 
 def gold_shape(df: DataFrame, dataset: str, order_by: Sequence[str], shown: Sequence[str], k: int = 5) -> DataFrame:

@@ -348,7 +348,9 @@ def dq_type_conformance(spark, sf_dir):
 
 @_query
 def dq_silver_profile(spark, sf_dir):
-    return quality.validate_silver(silver_contracts(spark, sf_dir), c.SILVER_DATASET)
+    path = scratch_path(spark, "silver")
+    layers.write_layer(silver_contracts(spark, sf_dir), path)
+    return quality.validate_silver(layers.read_layer(spark, path), c.SILVER_DATASET)
 
 
 @_query

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -138,13 +139,24 @@ def test_statistics_read_numbers_in_text(spark):
     assert (stats["v"].n, stats["v"].mean, stats["v"].stddev, stats["v"].max_num) == (3, 2.5, 1.8028, 4.5)
 
 
-def test_wide_profile_is_one_scan_and_one_job(spark):
+def test_any_number_of_checks_is_one_scan(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
-    for results in (q.validate_silver(df, "t"), q.table_report(df, "t"), q.run_checks(df, "t", [q.null_profile(df.columns)])):
+    checks = [q.non_empty(), q.null_profile(df.columns), q.critical_nulls(df.columns), q.freshness(df, ["l_shipdate"])]
+    for results in (q.run_checks(df, "t", checks), q.table_report(df, "t")):
         assert plan_of(results).count("FileScan") == 1
         assert "Python" not in plan_of(results)
 
 
+def test_statistics_read_each_column_once(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    for results in (q.validate_silver(df, "t"), column_statistics(df)):
+        plan = plan_of(results)
+        read = [re.findall(r"(\w+)#", part) for part in re.findall(r"FileScan parquet \[([^]]*)\]", plan)]
+        assert len(read) == 2 and sorted(sum(read, [])) == sorted(df.columns)
+        # numbers stay in the hash aggregation
+        assert "HashAggregate" in plan and "SortAggregate" in plan
+
+
 def test_business_ratios(spark):
     df = spark.createDataFrame([("a", 1), ("a", 0), ("b", 1), ("b", None)], "g STRING, contrat_actif INT")
     assert retention_rate(df).first()[0] == 50.0
