@@ -12,7 +12,6 @@ import os
 import statistics
 import tempfile
 import time
-from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -20,7 +19,9 @@ from strataflow import contracts as c
 from strataflow.operators import quality
 from strataflow.plans import daily
 from strataflow.plans.bronze import ingest_bronze, read_bronze
+from strataflow.plans.gold import client_profile, contract_analysis
 from strataflow.plans.registry import AS_OF
+from strataflow.plans.silver import conform, silver_contracts, unique_contracts
 from strataflow.plans.views import view
 from strataflow.session import build_session
 from strataflow.sources import delimited, layers
@@ -49,37 +50,24 @@ class Plain:
                 _ = silver.where(F.col(name).isNull()).count() / total
 
     def silver(self):
-        new, old, clients = (read_bronze(self.spark, self.base, n) for n in ("Contrat2", "Contrat1", "Client"))
-        df = new.unionByName(old).na.fill({"pfco": 0, "etatco": "UNKNOWN", "prmaco": 0.0}).dropDuplicates(c.CONTRACT_KEY)
-        labels = [("type_vehicule", "cateco", c.VEHICLE_TYPES), ("etat_contrat_libelle", "etatco", c.CONTRACT_STATES)]
-        for target, source, codes in [*labels, ("usage_vehicule", "usagco1", c.VEHICLE_USES)]:
-            for code, label in codes.items():
-                other = F.col(target) if target in df.columns else F.lit("Autre")
-                df = df.withColumn(target, F.when(F.col(source) == code, label).otherwise(other))
-        flags = reduce(lambda a, b: a + b, [F.coalesce(F.col(g), F.lit(0)) for g in c.GUARANTEE_FLAGS])
-        df = df.withColumn("contrat_actif", (F.col("etatco") == "1").cast("int")).withColumn("nb_garanties", flags)
-        df = df.join(clients.select("nusoc", *c.CLIENT_ATTRIBUTES), "nusoc", "left")
-        df = df.withColumn("age_client", AS_OF.year - F.col("aadhso"))
-        df = df.withColumn("client_jeune", F.when(F.col("age_client") < 30, 1).otherwise(0))
-        df = df.withColumn("anciennete_contrat", AS_OF.year - F.col("asaico"))
+        bronze = [read_bronze(self.spark, self.base, name) for name in ("Contrat2", "Contrat1", "Client")]
+        df = silver_contracts(*bronze, as_of=AS_OF)
         df.count()
-        df.coalesce(4).write.mode("overwrite").parquet(f"{self.out}/silver")
+        df.write.mode("overwrite").parquet(f"{self.out}/silver")
 
     def gold(self):
         silver = layers.read_layer(self.spark, layers.layer_path(self.base, "silver", c.SILVER_DATASET)).cache()
-        profile = silver.select(*c.PROFILE_COLUMNS).dropDuplicates(["nusoc"])
-        profile.count()
-        profile.coalesce(4).write.mode("overwrite").parquet(f"{self.out}/profile")
-        mart = silver.groupBy("type_vehicule").agg(
-            F.count("nucon"), F.countDistinct("nusoc"), F.avg("prmaco"), F.sum("prmaco"),
-            F.avg("anciennete_contrat"), F.avg("nb_garanties"),
-        )
-        mart = mart.toDF("type_vehicule", *"abcdef").orderBy(F.desc("a")).cache()
-        mart.count()
-        mart.coalesce(1).write.mode("overwrite").parquet(f"{self.out}/mart")
-        mart.unpersist()
+        for name, mart in [("profile", client_profile(silver)), ("mart", contract_analysis(silver).cache())]:
+            mart.count()
+            mart.write.mode("overwrite").parquet(f"{self.out}/{name}")
+            mart.unpersist()
         silver.unpersist()
 
+    def keyed_dedup(self):
+        older = read_bronze(self.spark, self.base, "Contrat1")
+        both = conform(self.contracts).unionByName(conform(older)).dropDuplicates(c.CONTRACT_KEY)
+        both.write.format("noop").mode("overwrite").save()
+
     def file_layout(self):
         self.contracts.count()
         megabytes = self.contracts.rdd.map(lambda row: len(str(row))).sum() / 2**20
@@ -103,6 +91,10 @@ class Ours(Plain):
     def gold(self):
         daily.run_gold(self.spark, self.base)
 
+    def keyed_dedup(self):
+        both = unique_contracts(self.contracts, read_bronze(self.spark, self.base, "Contrat1"))
+        both.write.format("noop").mode("overwrite").save()
+
     def file_layout(self):
         layers.write_layer(layers.rebalanced(self.contracts), f"{self.out}/layout")
 
@@ -119,7 +111,7 @@ def main() -> None:
     ingest_bronze(spark, f"{root}/landing", f"{root}/lake")
     daily.run_silver(spark, f"{root}/lake", AS_OF)
     report = {}
-    for work in ("null_profile", "bronze_validation", "silver", "gold", "silver_profile", "file_layout"):
+    for work in ("null_profile", "bronze_validation", "keyed_dedup", "silver", "gold", "silver_profile", "file_layout"):
         report[work] = {}
         for shape, kind in (("plain", Plain), ("ours", Ours)):
             timings = []

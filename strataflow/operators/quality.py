@@ -280,7 +280,8 @@ def validate_silver(df: DataFrame, dataset: str, digits: int = 4) -> DataFrame:
 def gold_shape(df: DataFrame, dataset: str, order_by: Sequence[str], shown: Sequence[str], k: int = 5) -> DataFrame:
     """Row count, column count and ``k`` sample rows of a mart."""
     check = Check(rows=[_row("rows", "_total", text(PASS)), _row("columns", str(len(df.columns)), text(PASS))])
-    line = f"concat_ws('|', {', '.join(f'coalesce(CAST({quoted(n)} AS STRING), {text('')})' for n in shown)})"
+    cells = [f"coalesce(CAST({quoted(n)} AS STRING), '')" for n in shown]
+    line = f"concat_ws('|', {', '.join(cells)})"
     sample = _long(sample_rows(df, order_by, k), dataset, [_row("sample", "NULL", text(PASS), detail=line)])
     return run_checks(df, dataset, [check]).unionByName(sample)
 

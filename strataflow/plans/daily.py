@@ -23,7 +23,6 @@ from strataflow.sources.layers import (
     WriteAudit,
     audited_write,
     layer_path,
-    overwrite_partitions,
     read_layer,
     set_target_file_size,
 )
@@ -57,10 +56,10 @@ def run_gold(spark: SparkSession, base: str) -> list[WriteAudit]:
 
 
 class RunJournal:
-    """Collects what the jobs of one run did; a handful of rows, written once at the end.
+    """Collects what the jobs of one run did; a handful of rows, added to the logs once at the end.
 
-    The logs are partitioned by run date, and a run for the same date replaces
-    that date's rows.
+    The logs are partitioned by run date and keep every run, failed ones and
+    reruns too, told apart by run id.
     """
 
     def __init__(self, as_of: dt.date):
@@ -98,8 +97,8 @@ class RunJournal:
             ("lineage", LINEAGE_LOG, self.edges),
         ]:
             if rows:
-                log = spark.createDataFrame(rows, schema)
-                overwrite_partitions(log, layer_path(base, "logs", name), ["run_date"])
+                log = spark.createDataFrame(rows, schema).coalesce(1)
+                log.write.mode("append").partitionBy("run_date").parquet(layer_path(base, "logs", name))
 
 
 def run_day(

@@ -121,7 +121,7 @@ def stored_bytes(spark: SparkSession, path: str, layer: str) -> DataFrame:
         .load(path)
         .select("path", "length")
     )
-    folder = path.rstrip("/").rsplit("/", 1)[-1]
+    folder = path.split(":", 1)[-1].strip("/")
     below = F.regexp_extract("path", rf"/\Q{folder}\E/([^/]+)", 1)
     dataset = F.regexp_replace(below, r"\.parquet$", "")
     return files.groupBy(F.lit(layer).alias("layer"), dataset.alias("dataset")).agg(

@@ -55,11 +55,11 @@ def test_logs_answer_the_run_log_queries(spark, landing, base):
     daily.run_day(spark, landing, base, AS_OF + dt.timedelta(days=1))
     log = layers.read_layer(spark, layers.layer_path(base, "logs", "run_log"))
     assert rows(runlog.run_totals(log), "job_name", "status", "n_runs") == [
-        ("bronze_ingest", "SUCCESS", 2),
-        ("gold_transform", "SUCCESS", 2),
-        ("silver_transform", "SUCCESS", 2),
+        ("bronze_ingest", "SUCCESS", 3),
+        ("gold_transform", "SUCCESS", 3),
+        ("silver_transform", "SUCCESS", 3),
     ]
-    assert runlog.transform_efficiency(log).count() == 4
+    assert runlog.transform_efficiency(log).count() == 6
     edges = layers.read_layer(spark, layers.layer_path(base, "logs", "lineage"))
     assert len(rows(runlog.lineage_edges(edges))) == 3 + 3 + 2
 
