@@ -36,7 +36,7 @@ MAX_SPAN = 6
 CLASSES = 64  # character classes
 MAX_UNIT = 24  # longer fragments are read in windows of this many characters, half overlapping
 LANDMARKS = 96
-FIT_TOXIC, FIT_CLEAN, CALIBRATION = 1_000, 2_000, 2_000
+FIT_TOXIC, FIT_CLEAN, CALIBRATION = 800, 1_600, 1_200
 CACHE = 1_000_000  # fragments whose score a task remembers
 
 SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n")
@@ -104,21 +104,36 @@ def coded(fragments: Sequence[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np
             yield np.array(part), codes, weight
 
 
-def feature_table(fragments: Sequence[str]) -> np.ndarray:
-    table = np.zeros((len(fragments), CLASSES**3), np.float32)
-    for members, codes, weight in coded(fragments):
-        for row, i in enumerate(members):
-            np.add.at(table[i], codes[row], weight)
-    return table
-
+class Landmarks:
+    """Features of the landmark fragments, over the subsequences that occur in them."""
+
+    def __init__(self, fragments: Sequence[str]):
+        parts = list(coded(fragments))
+        self.codes = np.unique(np.concatenate([np.zeros(1, np.int32), *[c.ravel() for _, c, _ in parts]]))
+        self.features = np.zeros((len(fragments), len(self.codes)), np.float32)
+        for members, codes, weight in parts:
+            for row, i in enumerate(members):
+                np.add.at(self.features[i], np.searchsorted(self.codes, codes[row]), weight)
+        self.place = np.full(CLASSES**3, len(self.codes), np.int32)
+        self.place[self.codes] = np.arange(len(self.codes))
+
+    def project(self, fragments: Sequence[str], root: np.ndarray) -> np.ndarray:
+        """Nyström features of fragments and a constant column: kernel values times ``root``."""
+        across = np.r_[self.features.T @ root, np.zeros((1, root.shape[1]))].astype(np.float32)
+        out = np.zeros((len(fragments), root.shape[1] + 1), np.float32)
+        out[:, -1] = 1
+        for members, codes, weight in coded(fragments):
+            for s in range(0, len(members), 256):
+                out[members[s : s + 256], :-1] = np.einsum(
+                    "btm,t->bm", across[self.place[codes[s : s + 256]]], weight
+                )
+        return out
 
-def kernel(fragments: Sequence[str], landmark_table: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(fragments), len(landmark_table)), np.float32)
-    across = np.ascontiguousarray(landmark_table.T)
-    for members, codes, weight in coded(fragments):
-        for s in range(0, len(members), 512):
-            out[members[s : s + 512]] = np.einsum("btm,t->bm", across[codes[s : s + 512]], weight)
-    return out
+    def table(self, weights: np.ndarray) -> np.ndarray:
+        """One weight per subsequence code."""
+        out = np.zeros(CLASSES**3, np.float32)
+        out[self.codes] = self.features.T @ weights
+        return out
 
 
 def squared_hinge(x: np.ndarray, up: np.ndarray, down: np.ndarray, c: float = 1.0) -> np.ndarray:
@@ -177,15 +192,14 @@ def fit_machine(toxic: list[list[str]], clean: list[list[str]]) -> tuple[np.ndar
     chosen = ranked[: LANDMARKS * 2 // 3]
     rest = sorted(set(seen_clean) - set(chosen))
     chosen += rest[:: max(1, len(rest) // (LANDMARKS - LANDMARKS * 2 // 3))][: LANDMARKS - len(chosen)]
-    landmarks = feature_table(chosen)
-    values, vectors = np.linalg.eigh((landmarks @ landmarks.T).astype(float))
+    landmarks = Landmarks(chosen)
+    values, vectors = np.linalg.eigh((landmarks.features @ landmarks.features.T).astype(float))
     keep = values > 1e-6 * max(values.max(), 1e-12)
     root = vectors[:, keep] / np.sqrt(values[keep])
 
     vocabulary = sorted(set(seen_toxic) | set(seen_clean))
     place = {u: i for i, u in enumerate(vocabulary)}
-    x = np.ones((len(vocabulary), root.shape[1] + 1), np.float32)
-    x[:, :-1] = kernel(vocabulary, landmarks) @ root.astype(np.float32)
+    x = landmarks.project(vocabulary, root)
     negative = np.array([seen_clean[u] for u in vocabulary], float)
     members = [np.array([place[u] for u in set(doc)]) for doc in toxic if doc]
     lifts = np.array([lift.get(u, 0.0) for u in vocabulary])
@@ -199,7 +213,7 @@ def fit_machine(toxic: list[list[str]], clean: list[list[str]]) -> tuple[np.ndar
             positive[hit] += 1
         w = squared_hinge(x, 2.0 * positive, negative)
         margin = x @ w
-    return (landmarks.T @ (root @ w[:-1])).astype(np.float32), float(w[-1])
+    return landmarks.table(root @ w[:-1]), float(w[-1])
 
 
 def fit_probability(margin: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -221,7 +235,7 @@ def fit_probability(margin: np.ndarray, label: np.ndarray, weight: np.ndarray) -
 
 def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for doc_id, part, toxic, text in rows_of(batches, "doc_id", "part", "toxic", "text"):
-        found = sorted({u for s in sentences(text) for u in units(s)})
+        found = "\n".join(sorted({u for s in sentences(text) for u in units(s)}))
         columns = [pa.array([doc_id]), pa.array([part], pa.int32()), pa.array([toxic], pa.int32()), pa.array([found])]
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "part", "toxic", "units"])
 
@@ -257,15 +271,17 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine | float:
     ]
     chosen = docs.sparkSession.createDataFrame(rows, "doc_id long, part int, toxic int")
     picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "part", "toxic", "text")
-    collected = picked.mapInArrow(_fragments, "doc_id long, part int, toxic int, units array<string>").toPandas()
-    collected = collected.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
-    fit = collected[collected.part == 0]
-    table, bias = fit_machine([list(u) for u in fit[fit.toxic == 1].units], [list(u) for u in fit[fit.toxic == 0].units])
+    found = picked.mapInArrow(_fragments, "doc_id long, part int, toxic int, units string")
+    by_id = {r.doc_id: (r.part, r.toxic, r.units) for r in found.sort("doc_id").toLocalIterator()}
+    fit = [[u.split("\n") for p, t, u in by_id.values() if p == 0 and t == k and u] for k in (1, 0)]
+    if not all(fit):
+        return n1 / (n1 + n0)
+    table, bias = fit_machine(*fit)
     machine = Machine(table, bias, 1.0, 0.0)
-    held = collected[collected.part == 1]
-    held = held if held.toxic.nunique() == 2 else collected
-    margin = np.array([machine.margins(list(u)).max() if len(u) else bias for u in held.units])
-    label = held.toxic.to_numpy(float)
+    held = [(t, u) for p, t, u in by_id.values() if p == 1]
+    held = held if len({t for t, _ in held}) == 2 else [(t, u) for _, t, u in by_id.values()]
+    margin = np.array([machine.margins(u.split("\n")).max() if u else bias for _, u in held])
+    label = np.array([t for t, _ in held], float)
     # The sample has its own mix of classes; weights bring back the mix of all labelled rows.
     weight = np.where(label == 1, n1 / label.sum(), n0 / (1 - label).sum())
     machine.slope, machine.offset = fit_probability(margin, label, weight / weight.mean())
