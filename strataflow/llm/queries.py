@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import toxicity
-from strataflow.llm.common import remainder, table
+from strataflow.llm import simhash, toxicity
+from strataflow.llm.common import remainder, stored, table
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,5 +20,16 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold == 0).alias("held_out"), "score", "predicted", "worst")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_toxicity": op1_toxicity}
+def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its fingerprint and the smallest doc_id that links of three bits or fewer reach."""
+    prints = stored(simhash.fingerprints(table(spark, sf_dir, "documents")), "fingerprints")
+    groups = simhash.near_duplicate_groups(prints)
+    text = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return groups.select("doc_id", text.alias("fingerprint"), "component_id")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op9_simhash_groups": op9_simhash_groups,
+}
 ORACLE: dict[str, str] = {}
