@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import simhash, toxicity
+from strataflow.llm import quality_rules, simhash, toxicity
 from strataflow.llm.common import remainder, stored, table
 
 
@@ -20,6 +20,13 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold == 0).alias("held_out"), "score", "predicted", "worst")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document; the cutoffs come from the labelled ones."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    counts = [f"_q.{c} AS {c}" for c in (*quality_rules.BASE, "base_failed")]
+    return quality_rules.quality_verdicts(docs, labels).selectExpr("doc_id", *counts, "_kept AS kept")
+
+
 def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint and the smallest doc_id that links of three bits or fewer reach."""
     prints = stored(simhash.fingerprints(table(spark, sf_dir, "documents")), "fingerprints")
@@ -30,6 +37,9 @@ def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op3_quality_rules": op3_quality_rules,
     "op9_simhash_groups": op9_simhash_groups,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_quality_rules": quality_rules.oracle_sql(),
+}
