@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import quality_rules, simhash, toxicity
+from strataflow.llm import packing, quality_rules, simhash, toxicity
 from strataflow.llm.common import remainder, stored, table
 
 
@@ -27,6 +27,13 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(docs, labels).selectExpr("doc_id", *counts, "_kept AS kept")
 
 
+def op6_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1,024 tokens; every token bears loss."""
+    pieces = packing.packed(table(spark, sf_dir, "documents"))
+    digest = F.crc32("ids").alias("ids_crc32")
+    return pieces.select("doc_id", "start", "length", digest, "doc_tokens", "sequence_id", "offset")
+
+
 def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint and the smallest doc_id that links of three bits or fewer reach."""
     prints = stored(simhash.fingerprints(table(spark, sf_dir, "documents")), "fingerprints")
@@ -38,6 +45,7 @@ def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_quality_rules": op3_quality_rules,
+    "op6_vector_packing": op6_vector_packing,
     "op9_simhash_groups": op9_simhash_groups,
 }
 ORACLE: dict[str, str] = {
