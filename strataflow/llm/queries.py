@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import packing, quality_rules, simhash, toxicity
+from strataflow.llm import decontamination, packing, quality_rules, simhash, toxicity
 from strataflow.llm.common import remainder, stored, table
 
 
@@ -34,6 +34,11 @@ def op6_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", digest, "doc_tokens", "sequence_id", "offset")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark passage in every document."""
+    return decontamination.passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint and the smallest doc_id that links of three bits or fewer reach."""
     prints = stored(simhash.fingerprints(table(spark, sf_dir, "documents")), "fingerprints")
@@ -46,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_quality_rules": op3_quality_rules,
     "op6_vector_packing": op6_vector_packing,
+    "op7_decontamination": op7_decontamination,
     "op9_simhash_groups": op9_simhash_groups,
 }
 ORACLE: dict[str, str] = {
