@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import decontamination, packing, quality_rules, simhash, toxicity
+from strataflow.llm import decontamination, interpolation, packing, quality_rules, simhash, toxicity
 from strataflow.llm.common import remainder, stored, table
 
 
@@ -27,6 +27,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(docs, labels).selectExpr("doc_id", *counts, "_kept AS kept")
 
 
+def op4_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model score of every document; the tenth with fold 0 is scored by what the others taught."""
+    return interpolation.interpolated_scores(table(spark, sf_dir, "documents"))
+
+
 def op6_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1,024 tokens; every token bears loss."""
     pieces = packing.packed(table(spark, sf_dir, "documents"))
@@ -50,6 +55,7 @@ def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_quality_rules": op3_quality_rules,
+    "op4_interpolation": op4_interpolation,
     "op6_vector_packing": op6_vector_packing,
     "op7_decontamination": op7_decontamination,
     "op9_simhash_groups": op9_simhash_groups,
