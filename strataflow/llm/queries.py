@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import decontamination, interpolation, packing, quality_rules, simhash, toxicity
+from strataflow.llm import decontamination, html_text, interpolation, packing, quality_rules, simhash, toxicity
 from strataflow.llm.common import remainder, stored, table
 
 
@@ -44,6 +44,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint and the smallest doc_id that links of three bits or fewer reach."""
     prints = stored(simhash.fingerprints(table(spark, sf_dir, "documents")), "fingerprints")
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_interpolation": op4_interpolation,
     "op6_vector_packing": op6_vector_packing,
     "op7_decontamination": op7_decontamination,
+    "op8_html_text": op8_html_text,
     "op9_simhash_groups": op9_simhash_groups,
 }
 ORACLE: dict[str, str] = {
