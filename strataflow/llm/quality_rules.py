@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataflow.llm.common import stored
+
 STRATA = ("en", "de", "fr", "es")  # other languages and null are one stratum, "other"
 RISK = 0.02
 DELTA = 0.05
@@ -136,9 +138,9 @@ def certified_cutoffs(labelled: DataFrame, risk: Risk = Risk()) -> DataFrame:
             F.count_if(F.expr("NOT good AND hit")).alias("bad"),
         )
     )
-    tests = counted.agg(F.count("*").alias("tests"))
-    tested = counted.crossJoin(F.broadcast(tests)).withColumn(
-        "p", F.expr(binomial_tail("n", "k", risk.risk / len(GRID)))
+    # One window over all groups: there are at most strata times rules times cutoffs of them.
+    tested = counted.withColumns(
+        {"tests": F.expr("count(*) OVER ()"), "p": F.expr(binomial_tail("n", "k", risk.risk / len(GRID)))}
     )
     best = (
         tested.where(f"p <= {risk.delta!r}D / tests AND bad > {risk.good_weight} * k")
@@ -150,12 +152,16 @@ def certified_cutoffs(labelled: DataFrame, risk: Risk = Risk()) -> DataFrame:
     )
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def stored_signals(docs: DataFrame) -> DataFrame:
+    """doc_id and ``_q`` of every row, kept in the shared folder: no text moves, and none is read twice for them."""
+    names = [c for c in ("doc_id", "text", "lang") if c in docs.columns]
+    return stored(with_signals(docs.select(*names)).select("doc_id", "_q"), "quality-signals")
+
+
+def labelled_rows(signals: DataFrame, labels: DataFrame) -> DataFrame:
     """Signals and quality of the labelled documents; one label per document, bad if any row says so."""
     marks = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    names = [c for c in ("doc_id", "text", "lang") if c in docs.columns]
-    picked = docs.select(*names).join(marks, "doc_id")
-    return with_signals(picked).select("_q", "quality")
+    return signals.join(marks, "doc_id").select("_q", "quality")
 
 
 def with_verdict(signals: DataFrame, cutoffs: DataFrame) -> DataFrame:
@@ -167,8 +173,18 @@ def with_verdict(signals: DataFrame, cutoffs: DataFrame) -> DataFrame:
 
 
 def quality_verdicts(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
-    """``docs`` plus ``_q`` and ``_kept``."""
-    return with_verdict(with_signals(docs), certified_cutoffs(labelled_rows(docs, labels), risk))
+    """doc_id, ``_q`` and ``_kept`` of every row."""
+    signals = stored_signals(docs)
+    return with_verdict(signals, certified_cutoffs(labelled_rows(signals, labels), risk))
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
+    """The rows of ``docs`` that base rules and certified rules keep, all columns as they are.
+
+    The signals are computed once for the labels and once more beside the texts, which therefore never move.
+    """
+    cutoffs = stored(certified_cutoffs(labelled_rows(stored_signals(docs), labels), risk), "quality-cutoffs")
+    return with_verdict(with_signals(docs), cutoffs).where("_kept").select(*docs.columns)
 
 
 def oracle_sql(risk: Risk = Risk()) -> str:
