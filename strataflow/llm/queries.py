@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import decontamination, html_text, interpolation, packing, quality_rules, simhash, toxicity
+from strataflow.llm import decontamination, html_text, interpolation, packing, quality_rules, simhash, token_lengths, toxicity, url_lists
 from strataflow.llm.common import remainder, stored, table
 
 
@@ -32,6 +32,13 @@ def op4_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolation.interpolated_scores(table(spark, sf_dir, "documents"))
 
 
+def op5_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a capture, against list entries derived from all events."""
+    pages, events = table(spark, sf_dir, "pages"), table(spark, sf_dir, "events")
+    entries = url_lists.example_entries(pages, events)
+    return url_lists.captures_on_lists(url_lists.example_captures(pages), entries)
+
+
 def op6_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1,024 tokens; every token bears loss."""
     pieces = packing.packed(table(spark, sf_dir, "documents"))
@@ -57,15 +64,23 @@ def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", text.alias("fingerprint"), "component_id")
 
 
+def op10_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of the encoded documents for every context limit at which they change."""
+    return token_lengths.with_suffix_sums(token_lengths.length_histogram(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_quality_rules": op3_quality_rules,
     "op4_interpolation": op4_interpolation,
+    "op5_url_lists": op5_url_lists,
     "op6_vector_packing": op6_vector_packing,
     "op7_decontamination": op7_decontamination,
     "op8_html_text": op8_html_text,
     "op9_simhash_groups": op9_simhash_groups,
+    "op10_token_lengths": op10_token_lengths,
 }
 ORACLE: dict[str, str] = {
     "op3_quality_rules": quality_rules.oracle_sql(),
+    "op5_url_lists": url_lists.ORACLE,
 }
