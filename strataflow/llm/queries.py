@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import decontamination, html_text, interpolation, packing, quality_rules, simhash, token_lengths, toxicity, url_lists
+import corpus_pipeline
+from strataflow.llm import decontamination, html_text, interpolation, license_scan, packing, quality_rules, simhash, token_lengths, toxicity, url_lists
 from strataflow.llm.common import remainder, stored, table
 
 
@@ -20,6 +21,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold == 0).alias("held_out"), "score", "predicted", "worst")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licenses that every document names or quotes."""
+    return license_scan.licenses_found(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document; the cutoffs come from the labelled ones."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -71,6 +77,7 @@ def op10_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_license_scan": op2_license_scan,
     "op3_quality_rules": op3_quality_rules,
     "op4_interpolation": op4_interpolation,
     "op5_url_lists": op5_url_lists,
@@ -79,8 +86,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_simhash_groups": op9_simhash_groups,
     "op10_token_lengths": op10_token_lengths,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
+    "op2_license_scan": license_scan.oracle_sql(),
     "op3_quality_rules": quality_rules.oracle_sql(),
     "op5_url_lists": url_lists.ORACLE,
 }

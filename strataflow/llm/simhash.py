@@ -14,7 +14,11 @@ dropped on the largest difference over all pivots, and the survivors are verifie
 
 *Large buckets.*  A bucket of more than ``BUCKET`` fingerprints is not compared in one task: its members are filed
 again by blocks of the bits the bucket leaves free (64, then 32, 16, 8 bits), which keeps the search exact and ends
-where so few bits are free that a bucket cannot be large.  From each bucket only the edges of a spanning forest leave, never all its pairs.
+where so few bits are free that a bucket cannot be large.  From each bucket only the edges of a spanning forest leave,
+never all its pairs.
+
+*A second fingerprint.*  A wide radius over 64 bits would link unrelated texts of a large corpus by chance.  A second
+fingerprint, of shingles of another length, can be carried along and must then also agree within a radius of its own.
 """
 
 from __future__ import annotations
@@ -65,17 +69,22 @@ def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fingerprint (as a signed long) of every row; null and empty texts have fingerprint zero."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, second: int | None = None) -> DataFrame:
+    """doc_id, fingerprint and second fingerprint (signed longs) of every row; null and empty texts have zeros.
+
+    ``second`` is the shingle length of the second fingerprint, which is zero without it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [signed(fingerprint(t, shingle)) for t in batch.column("text").to_pylist()]
-            columns = [batch.column("doc_id"), pa.array(values, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fingerprint"])
+            texts = batch.column("text").to_pylist()
+            columns = [batch.column("doc_id")]
+            for size in (shingle, second):
+                columns.append(pa.array([signed(fingerprint(t, size)) if size else 0 for t in texts], pa.int64()))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fingerprint", "second"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, fingerprint long"
+        run, "doc_id long, fingerprint long, second long"
     )
 
 
@@ -89,8 +98,10 @@ def pivot_table(values: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.bitwise_count(values[:, None] ^ pivots[None, :]).astype(np.int16)
 
 
-def forest(values: np.ndarray, runs: np.ndarray, radius: int, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of a spanning forest over the fingerprints that are linked within a run.
+def forest(
+    values: np.ndarray, second: np.ndarray, runs: np.ndarray, radius: int, second_radius: int, pivots: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a spanning forest over the fingerprints that are linked within a run, as positions.
 
     ``runs`` numbers the runs, equal numbers side by side.
     """
@@ -112,10 +123,11 @@ def forest(values: np.ndarray, runs: np.ndarray, radius: int, pivots: np.ndarray
             near = np.abs(distances[left, column] - distances[right, column]) <= radius
             left, right = left[near], right[near]
         linked = np.bitwise_count(values[left] ^ values[right]) <= radius
+        linked &= np.bitwise_count(second[left] ^ second[right]) <= second_radius
         join(root, left[linked], right[linked])
         first = last
     child = np.flatnonzero(root != np.arange(n))
-    return values[child], values[root[child]]
+    return child, root[child]
 
 
 def join(root: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
@@ -142,96 +154,98 @@ def masks(free: int, radius: int) -> list[int]:
 
 
 def filed(rows: DataFrame, radius: int) -> DataFrame:
-    """Rows (value, free) repeated under each key: the bits kept and the bits left free."""
+    """Rows (value, second, free) repeated under each key: the bits kept, and the bits left free."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, list[int]] = {}
         for batch in batches:
-            values = batch.column("value").to_numpy().view(np.uint64)
-            free = batch.column("free").to_numpy().view(np.uint64)
+            values, second, free = unsigned(batch, "value", "second", "free")
             for mask in np.unique(free).tolist():
-                part = values[free == mask]
+                part, more = values[free == mask], second[free == mask]
                 for left_free in known.setdefault(mask, masks(mask, radius)):
                     m = np.full(len(part), left_free, np.uint64)
-                    arrays = [pa.array(x.view(np.int64)) for x in (part, m, part & ~m)]
-                    yield pa.RecordBatch.from_arrays(arrays, ["value", "free", "key"])
+                    arrays = [pa.array(x.view(np.int64)) for x in (part, more, m, part & ~m)]
+                    yield pa.RecordBatch.from_arrays(arrays, ["value", "second", "free", "key"])
+
+    return rows.mapInArrow(run, "value long, second long, free long, key long")
+
+
+def unsigned(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
+    return [batch.column(n).to_numpy(zero_copy_only=False).view(np.uint64) for n in names]
+
+
+LINKS = "a long, a2 long, b long, b2 long, free long"
+
 
-    return rows.mapInArrow(run, "value long, free long, key long")
+def links_of(*columns: np.ndarray | None) -> pa.RecordBatch:
+    n = len(columns[0])
+    arrays = [pa.nulls(n, pa.int64()) if x is None else pa.array(x.view(np.int64)) for x in columns]
+    return pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in LINKS.split(", ")])
 
 
-def links_in_buckets(keyed: DataFrame, radius: int, bucket: int, pivot_count: int) -> DataFrame:
-    """From rows (value, free, key): edges (a, b, free null), and the rows of large buckets (a, b null, free) for
-    the next round."""
+def links_in_buckets(keyed: DataFrame, radius: int, second_radius: int, bucket: int, pivot_count: int) -> DataFrame:
+    """From rows (value, second, free, key): edges (a, a2, b, b2), and the rows of large buckets (a, a2, free) for the
+    next round.  A task reads its buckets one after the other and holds no more than one of bounded size."""
     pivots = pivot_fingerprints(pivot_count)
 
+    def complete(part: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        value, second, free, key = part
+        run_of = np.cumsum(starts_of(free, key))
+        size = np.bincount(run_of)[run_of]
+        large, several = size > bucket, (size > 1) & (size <= bucket)
+        if large.any():
+            yield links_of(value[large], second[large], None, None, free[large])
+        if several.any():
+            v, w = value[several], second[several]
+            a, b = forest(v, w, run_of[several], radius, second_radius, pivots)
+            yield links_of(v[a], w[a], v[b], w[b], None)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-
-        def edges(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-            if not parts:
-                return
-            value, free, key = (np.concatenate(x) for x in zip(*parts, strict=True))
-            change = np.r_[True, (free[1:] != free[:-1]) | (key[1:] != key[:-1])]
-            run_of = np.cumsum(change)
-            size = np.bincount(run_of)[run_of]
-            large = size > bucket
-            if large.any():
-                yield batch_of(value[large], None, free[large])
-            several = (size > 1) & ~large
-            if several.any():
-                a, b = forest(value[several], run_of[several], radius, pivots)
-                yield batch_of(a, b, None)
-
-        tail_key, tail_large = None, False
+        held: list[np.ndarray] | None = None  # the rows of a bucket that may go on in the next batch
+        overflown = None  # free and key of a bucket that went on too long to be held
         for batch in batches:
-            value, free, key = (batch.column(n).to_numpy().view(np.uint64) for n in ("value", "free", "key"))
-            if not len(value):
+            part = unsigned(batch, "value", "second", "free", "key")
+            if not len(part[0]):
                 continue
-            # The last run may go on in the next batch; what stands before it is complete.
-            last = int(np.flatnonzero(np.r_[True, (free[1:] != free[:-1]) | (key[1:] != key[:-1])])[-1])
-            start = 0
-            if tail_large and (free[0], key[0]) == tail_key:
-                same = (free == free[0]) & (key == key[0])
-                start = len(value) if same.all() else int(np.flatnonzero(~same)[0])
-                yield batch_of(value[:start], None, free[:start])
-                if start == len(value):
+            if overflown:
+                same = (part[2] == overflown[0]) & (part[3] == overflown[1])
+                n = len(same) if same.all() else int(np.argmin(same))
+                if n:
+                    yield links_of(part[0][:n], part[1][:n], None, None, part[2][:n])
+                if n == len(same):
                     continue
-            tail_large = False
-            if last > start:
-                held.append((value[start:last], free[start:last], key[start:last]))
-                yield from edges(held)
-                held = []
-                start = last
-            elif held and (held[-1][1][-1], held[-1][2][-1]) != (free[start], key[start]):
-                yield from edges(held)
-                held = []
-            held.append((value[start:], free[start:], key[start:]))
-            if sum(len(p[0]) for p in held) > bucket:
-                for v, f, _ in held:
-                    yield batch_of(v, None, f)
-                held, tail_large, tail_key = [], True, (free[-1], key[-1])
-        yield from edges(held)
-
-    ordered = keyed.repartition("free", "key").sortWithinPartitions("free", "key", "value")
-    return ordered.mapInArrow(run, "a long, b long, free long")
-
-
-def batch_of(a: np.ndarray, b: np.ndarray | None, free: np.ndarray | None) -> pa.RecordBatch:
-    nothing = pa.nulls(len(a), pa.int64())
-    columns = [nothing if x is None else pa.array(x.view(np.int64)) for x in (a, b, free)]
-    return pa.RecordBatch.from_arrays(columns, ["a", "b", "free"])
+                part, overflown = [x[n:] for x in part], None
+            if held is not None:
+                part = [np.concatenate(x) for x in zip(held, part, strict=True)]
+            last = int(np.flatnonzero(starts_of(part[2], part[3]))[-1])
+            if last:
+                yield from complete([x[:last] for x in part])
+            held = [x[last:] for x in part]
+            if len(held[0]) > bucket:
+                yield links_of(held[0], held[1], None, None, held[2])
+                overflown, held = (held[2][0], held[3][0]), None
+        if held is not None:
+            yield from complete(held)
+
+    ordered = keyed.repartition("free", "key").sortWithinPartitions("free", "key", "value", "second")
+    return ordered.mapInArrow(run, LINKS)
+
+
+def starts_of(free: np.ndarray, key: np.ndarray) -> np.ndarray:
+    return np.r_[True, (free[1:] != free[:-1]) | (key[1:] != key[:-1])]
 
 
 def linked_fingerprints(
-    values: DataFrame, radius: int = RADIUS, bucket: int = BUCKET, pivots: int = PIVOTS
+    classes: DataFrame, radius: int = RADIUS, second_radius: int = 64, bucket: int = BUCKET, pivots: int = PIVOTS
 ) -> DataFrame:
-    """Edges (a, b) that connect all distinct ``value`` longs at ``radius`` or fewer differing bits."""
-    rows = values.select("value", F.lit(-1).cast("long").alias("free"))
+    """Edges (a, b) between the nodes of ``classes`` (value, second; distinct) that connect all linked ones."""
+    rows = classes.select("value", "second", F.lit(-1).cast("long").alias("free"))
     found = []
     while True:
-        step = stored(links_in_buckets(filed(rows, radius), radius, bucket, pivots), "simhash-links")
-        found.append(step.where("b IS NOT NULL").select("a", "b"))
-        rows = step.where("b IS NULL").selectExpr("a AS value", "free")
+        links = links_in_buckets(filed(rows, radius), radius, second_radius, bucket, pivots)
+        step = stored(links, "simhash-links")
+        found.append(step.where("b IS NOT NULL").selectExpr("xxhash64(a, a2) AS a", "xxhash64(b, b2) AS b"))
+        rows = step.where("b IS NULL").selectExpr("a AS value", "a2 AS second", "free")
         if rows.isEmpty():
             break
     edges = found[0]
@@ -241,18 +255,31 @@ def linked_fingerprints(
 
 
 def near_duplicate_groups(
-    prints: DataFrame, radius: int = RADIUS, bucket: int = BUCKET, pivots: int = PIVOTS
+    prints: DataFrame, radius: int = RADIUS, second_radius: int = 64, bucket: int = BUCKET, pivots: int = PIVOTS
 ) -> DataFrame:
-    """doc_id, fingerprint and component_id of every row of ``prints`` (doc_id, fingerprint).
+    """doc_id, fingerprint and component_id of every row of ``prints`` (doc_id, fingerprint, second).
 
     ``component_id`` is the smallest doc_id that links reach, its own included; rows without id are grouped too.
     """
-    classes = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "simhash-classes")
-    edges = linked_fingerprints(classes.select(F.col("fingerprint").alias("value")), radius, bucket, pivots)
-    roots = components(edges)
-    named = classes.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
-        "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
-    )
+    each = prints.groupBy("fingerprint", "second").agg(F.min("doc_id").alias("first"))
+    classes = stored(each.withColumn("node", F.xxhash64("fingerprint", "second")), "simhash-classes")
+    values = classes.select(F.col("fingerprint").alias("value"), "second")
+    roots = components(linked_fingerprints(values, radius, second_radius, bucket, pivots))
+    named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    labels = stored(named.join(least, "root").select("fingerprint", "component_id"), "simhash-labels")
-    return prints.join(labels, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    labels = stored(named.join(least, "root").select("fingerprint", "second", "component_id"), "simhash-labels")
+    joined = prints.join(labels, ["fingerprint", "second"])
+    return joined.select("doc_id", "fingerprint", "component_id")
+
+
+def first_of_groups(docs: DataFrame, prints: DataFrame, **settings) -> DataFrame:
+    """One row of each group of ``docs``, all columns as they are: that with the smallest doc_id.
+
+    Of rows with one doc_id and one text one stays.  A row without id is taken for a document of its own text.
+    """
+    groups = near_duplicate_groups(prints.where("doc_id IS NOT NULL"), **settings)
+    chosen = groups.select(F.col("component_id").alias("doc_id")).distinct()
+    named = docs.join(chosen, "doc_id", "left_semi")
+    unnamed = docs.where("doc_id IS NULL")
+    both = named.unionByName(unnamed).withColumn("_text", F.xxhash64("text"))
+    return both.dropDuplicates(["doc_id", "_text"]).drop("_text")

@@ -288,6 +288,25 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine | float:
     return machine
 
 
+class Reader:
+    """Finds the worst fragment of texts; remembers the fragments it has scored, a bounded number of them."""
+
+    def __init__(self, machine: Machine):
+        self.machine = machine
+        self.known: dict[str, tuple[float, str]] = {}
+
+    def worst(self, texts: list[str | None]) -> Iterator[tuple[float, str]]:
+        for text in texts:
+            words = {w for s in sentences(text) for w in s.split()}
+            missing = [(w, w.strip(EDGES)) for w in words if w not in self.known]
+            margins = iter(self.machine.margins([x for _, b in missing if b for x in windows(b)]).tolist())
+            for w, b in missing:
+                self.known[w] = (max([next(margins) for _ in windows(b)]) if b else self.machine.bias, b)
+            yield max([self.known[w] for w in words], default=(self.machine.bias, ""))
+            if len(self.known) > CACHE:
+                self.known.clear()
+
+
 def scored(docs: DataFrame, machine: Machine | float) -> DataFrame:
     """doc_id, score, predicted and the fragment that decided, for every row; repeated rows are scored each.
 
@@ -295,27 +314,30 @@ def scored(docs: DataFrame, machine: Machine | float) -> DataFrame:
     """
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[float, str]] = {}
+        reader = Reader(machine)
         for batch in batches:
-            ids, scores, worst = batch.column("doc_id"), [], []
-            spread = [{w for s in sentences(t) for w in s.split()} for t in batch.column("text").to_pylist()]
-            for words in spread:
-                missing = [w for w in words if w not in known]
-                parts = [x for w in missing if (b := w.strip(EDGES)) for x in windows(b)]
-                margins = iter(machine.margins(parts).tolist())
-                for w in missing:
-                    b = w.strip(EDGES)
-                    known[w] = (max([next(margins) for _ in windows(b)]) if b else machine.bias, b)
-                margin, which = max([known[w] for w in words], default=(machine.bias, ""))
-                scores.append(machine.probability(margin))
-                worst.append(which)
-                if len(known) > CACHE:
-                    known.clear()
+            found = list(reader.worst(batch.column("text").to_pylist()))
+            scores = [machine.probability(margin) for margin, _ in found]
             predicted = pa.array([int(s >= 0.5) for s in scores], pa.int32())
-            columns = [ids, pa.array(scores, pa.float64()), predicted, pa.array(worst, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "score", "predicted", "worst"])
+            columns = [pa.array(scores, pa.float64()), predicted, pa.array([w for _, w in found], pa.string())]
+            names = ["doc_id", "score", "predicted", "worst"]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names)
 
     if isinstance(machine, float):
         values = F.lit(machine), (F.lit(machine) >= 0.5).cast("int"), F.lit("")
         return docs.select("doc_id", *[v.alias(n) for v, n in zip(values, ("score", "predicted", "worst"), strict=True)])
     return docs.select("doc_id", "text").mapInArrow(score, SCORE_COLUMNS)
+
+
+def kept_documents(docs: DataFrame, machine: Machine | float) -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, all columns as they are."""
+    if isinstance(machine, float):
+        return docs if machine < 0.5 else docs.limit(0)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(machine)
+        for batch in batches:
+            verdicts = [machine.probability(m) < 0.5 for m, _ in reader.worst(batch.column("text").to_pylist())]
+            yield batch.filter(pa.array(verdicts, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
