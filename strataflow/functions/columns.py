@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(28,6)"
 
 
 def decode(column: Column, labels: Mapping, other: str) -> Column:
@@ -69,8 +69,11 @@ def as_percentage(ratio: Column, decimals: int = 2) -> Column:
 
 
 def money(column: Column) -> Column:
-    """Amount as an exact decimal, so that sums do not depend on the order of the rows."""
-    return column.cast(MONEY)
+    """Amount as an exact decimal, so that sums do not depend on the order of the rows.
+
+    Null for what is no finite number or does not fit, under ANSI mode too.
+    """
+    return try_cast(column, MONEY)
 
 
 def mean_of(total: Column, count: Column) -> Column:

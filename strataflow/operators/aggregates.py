@@ -21,10 +21,12 @@ def contract_mart(df: DataFrame) -> DataFrame:
     """Contracts, clients, premiums, seniority and guarantees per vehicle type, largest first.
 
     Money is added up as decimals and every mean is one division of exact
-    totals, so a rerun on other partitions gives the same digits.
+    totals, so a rerun on other partitions gives the same digits.  A premium
+    that is no finite number of the money type is neither summed nor counted;
+    ``quality.amount_conformance`` reports how many there are.
     """
-    premium = F.sum(money(F.col("prmaco")))
-    n_rows = F.count("prmaco")
+    amount = money(F.col("prmaco"))
+    premium, n_rows = F.sum(amount), F.count(amount)
     return (
         df.groupBy("type_vehicule")
         .agg(
@@ -64,8 +66,9 @@ STATISTICS = [
 ]
 
 
-# Text that reads as a number.  Testing it first keeps other text from costing an exception per cell.
-NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+# A cell that the cast reads as a number begins so, after blanks and a sign: with a digit, a point, or as infinity or
+# not-a-number.  Testing it first keeps other text from costing an exception per cell, and loses no number.
+NUMBER_START = r"^[\\x00-\\x20]*[+-]?[0-9.iInN]"
 
 
 def number_in_text(df: DataFrame, name: str) -> dict[str, str]:
@@ -77,7 +80,7 @@ def number_in_text(df: DataFrame, name: str) -> dict[str, str]:
     if not isinstance(df.schema[name].dataType, StringType):
         return {}
     column = quoted(name)
-    return {f"_number_{name}": f"IF({column} RLIKE '{NUMBER_PATTERN}', try_cast({column} AS DOUBLE), NULL)"}
+    return {f"_number_{name}": f"IF({column} RLIKE '{NUMBER_START}', try_cast({column} AS DOUBLE), NULL)"}
 
 
 def statistic_aggregates(df: DataFrame, name: str, digits: int) -> dict[str, str]:

@@ -2,58 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, LongType
 
-# A key with fewer rows than this is an ordinary shuffle key.
-HEAVY_KEY_ROWS = 1_000_000
-# At most this many heavy keys are listed, the largest first; so the broadcast
-# list has a fixed bound.  Any other key holds less than 1/1000 of the rows and
-# takes the ordinary path, where adaptive execution may still split it.
-HEAVY_KEY_LIST = 1_000
-HEAVY_KEY_SPLITS = 256
 
+def _wider(df: DataFrame, key: str) -> Column:
+    """The key in another type with the same equality, so that no earlier shuffle on the key itself can serve."""
+    kind = df.schema[key].dataType
+    if isinstance(kind, LongType):
+        return F.col(key).cast("decimal(20,0)")
+    return F.col(key).cast("bigint") if isinstance(kind, IntegralType) else F.concat(F.col(key).cast("string"), F.lit(""))
 
-def heavy_keys(df: DataFrame, key: str, min_rows: int = HEAVY_KEY_ROWS, at_most: int = HEAVY_KEY_LIST) -> DataFrame:
-    """The keys with at least ``min_rows`` rows, never more than ``at_most`` of them."""
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") >= min_rows)
-        .orderBy(F.desc("_rows"), key)
-        .limit(at_most)
-        .select(key)
-    )
 
-
-def balanced_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    how: str = "left",
-    key_frequencies_from: DataFrame | None = None,
-    min_rows: int = HEAVY_KEY_ROWS,
-    splits: int = HEAVY_KEY_SPLITS,
-) -> DataFrame:
+def balanced_join(facts: DataFrame, lookup: DataFrame, key: str, how: str = "left") -> DataFrame:
     """``facts`` joined to ``lookup`` on ``key`` for ``how`` in left, inner, left_anti, left_semi.
 
-    The rows of a heavy key get one of ``splits`` salts, and the lookup rows of
-    that key are repeated once per salt.  The repetition is bounded: the list
-    of heavy keys is.  Fact rows with a null key match nothing and are spread
-    likewise.  The salt is a hash of the row and of the task it is read in, so
-    exact copies spread too, and a task that reruns gives the same salts, which
-    random numbers would not.
-
-    ``key_frequencies_from`` is a cheaper frame with the same keys to count
-    (bronze files, say, of which only the key column is read).
+    Adaptive execution splits the partition of a key with very many rows, by as many tasks as its measured size asks
+    for, and repeats the lookup's side for each.  It can do so only where both sides come straight from a shuffle made
+    for the join.  A lookup that was deduplicated on the key would be joined where it stands; the join is therefore on
+    the key in a wider type, which shuffles it once more.  For a semi or anti join the lookup is reduced to its
+    distinct keys first.  Null keys match nothing; in a left or anti join their partition is split like any other.
     """
-    source = facts if key_frequencies_from is None else key_frequencies_from
-    heavy = F.broadcast(heavy_keys(source, key, min_rows).withColumn("_heavy", F.lit(True)))
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *facts.columns), F.lit(splits)).cast("int")
-    salted_facts = facts.join(heavy, key, "left").withColumn(
-        "_salt", F.when(F.col("_heavy") | F.col(key).isNull(), spread).otherwise(F.lit(0))
-    )
-    salts = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(F.array(F.lit(0)))
-    salted_lookup = lookup.join(heavy, key, "left").withColumn("_salt", F.explode(salts)).drop("_heavy")
-    return salted_facts.drop("_heavy").join(salted_lookup, [key, "_salt"], how).drop("_salt")
+    if how in ("left_anti", "left_semi"):
+        lookup = lookup.select(key).distinct()
+    left = facts.withColumn("_join_key", _wider(facts, key))
+    right = lookup.withColumn("_join_key", _wider(lookup, key))
+    if how in ("left_anti", "left_semi"):
+        return left.join(right, "_join_key", how).drop("_join_key")
+    columns = [key, *[n for n in facts.columns if n != key], *[n for n in lookup.columns if n != key]]
+    return left.join(right.drop(key), "_join_key", how).select(*columns)

@@ -15,6 +15,7 @@ value, detail, status (PASS, WARN or FAIL).
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from strataflow.functions.columns import any_null, safe_divide
+from strataflow.functions.columns import MONEY, any_null, safe_divide
 from strataflow.functions.sqltext import quoted, text
 from strataflow.operators.aggregates import (
     STATISTICS,
@@ -64,6 +65,13 @@ class Check:
     rows: list[str] = field(default_factory=list)
     columns: dict[str, str] = field(default_factory=dict)  # computed per row, below the aggregation
 
+    def measure(self, kind: str, expression: str) -> str:
+        """Adds an aggregate and gives its quoted name, which depends on the expression: two checks of one kind in a
+        run share an aggregate if it is the same, and never otherwise."""
+        name = f"_{kind}_{hashlib.md5(expression.encode()).hexdigest()}"
+        self.aggregates[name] = expression
+        return quoted(name)
+
 
 def run_checks(df: DataFrame, dataset: str, checks: Sequence[Check]) -> DataFrame:
     aggregates, columns = {"_total": "count(1)"}, {}
@@ -101,11 +109,10 @@ def null_profile(columns: Sequence[str], severity: str = WARN, percentages: bool
 def critical_nulls(columns: Sequence[str], severity: str = WARN, name: str = "critical_nulls") -> Check:
     """Rows with a null in at least one of the columns; none of them for an empty list."""
     missing = " OR ".join(f"{quoted(n)} IS NULL" for n in columns) or "false"
-    rows = quoted(f"_{name}")
-    return Check(
-        {f"_{name}": f"count_if({missing})"},
-        [_row(name, rows, unless(f"{rows} > 0", severity), detail=text(",".join(columns)))],
-    )
+    check = Check()
+    rows = check.measure("missing", f"count_if({missing})")
+    check.rows.append(_row(name, rows, unless(f"{rows} > 0", severity), detail=text(",".join(columns))))
+    return check
 
 
 def freshness(
@@ -122,13 +129,13 @@ def freshness(
     present = [name for name in candidates if name in df.columns]
     if not present:
         return Check()
-    age = f"date_diff(DATE '{as_of}', try_cast(_latest AS DATE))" if as_of else "NULL"
+    check = Check()
+    latest = check.measure("latest", f"max({quoted(present[0])})")
+    age = f"date_diff(DATE '{as_of}', try_cast({latest} AS DATE))" if as_of else "NULL"
     stale = f"coalesce({age} > {max_age_days}, true)" if as_of and max_age_days is not None else "false"
-    detail = "date_format(try_cast(_latest AS TIMESTAMP), 'yyyy-MM-dd HH:mm:ss')"
-    return Check(
-        {"_latest": f"max({quoted(present[0])})"},
-        [_row("data_freshness", age, unless(stale, FAIL), present[0], detail)],
-    )
+    detail = f"date_format(try_cast({latest} AS TIMESTAMP), 'yyyy-MM-dd HH:mm:ss')"
+    check.rows.append(_row("data_freshness", age, unless(stale, FAIL), present[0], detail))
+    return check
 
 
 def type_conformance(df: DataFrame, expected: Mapping[str, str]) -> Check:
@@ -146,14 +153,24 @@ def type_conformance(df: DataFrame, expected: Mapping[str, str]) -> Check:
         if actual.simpleString() == wanted:
             check.rows.append(_row("type_conformance", "0", text(PASS), name, detail))
         elif isinstance(actual, StringType):
-            cell, cells = quoted(name), quoted(f"unfit_{name}")
-            check.aggregates[f"unfit_{name}"] = f"count_if({cell} IS NOT NULL AND try_cast({cell} AS {wanted}) IS NULL)"
+            cell = quoted(name)
+            cells = check.measure("unfit", f"count_if({cell} IS NOT NULL AND try_cast({cell} AS {wanted}) IS NULL)")
             check.rows.append(_row("type_conformance", cells, unless(f"{cells} > 0", FAIL), name, detail))
         else:
             check.rows.append(_row("type_conformance", "0", text(FAIL), name, detail))
     return check
 
 
+def amount_conformance(columns: Sequence[str], severity: str = WARN) -> Check:
+    """Per column, the amounts that are there but are no finite number of the money type: what the marts leave out."""
+    check = Check()
+    for name in columns:
+        cell = quoted(name)
+        bad = check.measure("amount", f"count_if({cell} IS NOT NULL AND try_cast({cell} AS {MONEY}) IS NULL)")
+        check.rows.append(_row("amount_conformance", bad, unless(f"{bad} > 0", severity), name, text(MONEY)))
+    return check
+
+
 def types_match(df: DataFrame, expected: Mapping[str, str]) -> bool:
     """Whether the schema alone has the expected types; no data is read."""
     actual = {f.name: f.dataType for f in df.schema.fields}
@@ -188,8 +205,7 @@ def partition_conformance(df: DataFrame, date_column: str, parts: Mapping[str, s
             check.rows.append(_row("partition_conformance", "NULL", text(FAIL), name, text("missing")))
             continue
         right = f"try_cast({quoted(name)} AS INT) = {unit}(try_cast({quoted(date_column)} AS DATE))"
-        rows = quoted(f"part_{name}")
-        check.aggregates[f"part_{name}"] = f"count_if(NOT coalesce({right}, false))"
+        rows = check.measure("part", f"count_if(NOT coalesce({right}, false))")
         check.rows.append(_row("partition_conformance", rows, unless(f"{rows} > 0", FAIL), name, text(unit)))
     return check
 

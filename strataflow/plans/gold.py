@@ -11,7 +11,7 @@ from strataflow import contracts as c
 from strataflow.operators.aggregates import contract_mart
 from strataflow.operators.dedup import keep_first, total_order
 from strataflow.operators.projections import age_segment, derive_client_age
-from strataflow.plans.silver import clean_contracts, contract_keys, unique_clients
+from strataflow.plans.silver import clean_contracts, client_numbers, unique_clients
 
 
 def with_segment(profile: DataFrame, unknown_label: str | None = None) -> DataFrame:
@@ -38,7 +38,7 @@ def client_profile_from_bronze(
     So the distinct numbers of the bronze files (one column read) go into the
     client join: no contract row is moved, and no key is heavy any more.
     """
-    numbers = contract_keys(contrat2, contrat1).distinct()
+    numbers = client_numbers(contrat2, contrat1).distinct()
     profile = derive_client_age(numbers.join(unique_clients(clients), c.CLIENT_KEY, "left"), as_of)
     return with_segment(profile.select(*c.PROFILE_COLUMNS))
 

@@ -7,7 +7,7 @@ are written out again here.
 from __future__ import annotations
 
 from strataflow.contracts import CLIENT_SCHEMA, CONTRACT_SCHEMA, GUARANTEE_FLAGS, schema_types
-from strataflow.plans.views import SQL
+from strataflow.plans.views import EXTREMES, NUMBERS_IN_TEXT, SQL
 
 CONTRACT_TYPES = schema_types(CONTRACT_SCHEMA)
 CLIENT_TYPES = schema_types(CLIENT_SCHEMA)
@@ -67,8 +67,9 @@ STEPS = {
     "profile": f"""SELECT DISTINCT nusoc, age_client, client_jeune, sexsoc, cspsoc, sitmat, sitpav1,
       {_segment('age_client', '65+')} AS age_segment FROM silver""",
     "mart": """SELECT type_vehicule, count(nucon) AS total_contracts, count(DISTINCT nusoc) AS unique_clients,
-      round(CAST(sum(CAST(prmaco AS DECIMAL(18,2))) AS DOUBLE) / count(prmaco), 2) AS avg_premium,
-      round(CAST(sum(CAST(prmaco AS DECIMAL(18,2))) AS DOUBLE), 0) AS total_premium,
+      round(CAST(sum(TRY_CAST(prmaco AS DECIMAL(28,6))) AS DOUBLE) / count(TRY_CAST(prmaco AS DECIMAL(28,6))), 2)
+        AS avg_premium,
+      round(CAST(sum(TRY_CAST(prmaco AS DECIMAL(28,6))) AS DOUBLE), 0) AS total_premium,
       round(CAST(sum(anciennete_contrat) AS DOUBLE) / count(anciennete_contrat), 1) AS avg_seniority,
       round(CAST(sum(nb_garanties) AS DOUBLE) / count(nb_garanties), 1) AS avg_guarantees
       FROM silver GROUP BY type_vehicule""",
@@ -208,6 +209,9 @@ SILVER_TYPES = {
 }
 
 
+NUMBER_TYPES = {"id": "bigint", "padded": "string", "mixed": "string", "not_a_number": "string"}
+
+
 def _silver_profile() -> str:
     dataset = "Client_contrat_silver"
     rows = [_row_count(dataset, "silver"), *_null_rows(dataset, "silver", SILVER_TYPES)]
@@ -349,7 +353,7 @@ ORACLE: dict[str, str] = {
   CAST(day(o_orderdate) AS INT) AS day, 'monthly' AS aggregation_level FROM orders""",
     "period_rollup": _all(
         f"""SELECT '{level}' AS aggregation_level, CAST(date_trunc('{unit}', o_orderdate) AS DATE) AS period_start,
-  count(*) AS n_rows, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_amount
+  count(*) AS n_rows, CAST(sum(TRY_CAST(o_totalprice AS DECIMAL(28,6))) AS DECIMAL(38,6)) AS total_amount
   FROM orders GROUP BY 2"""
         for level, unit in [("daily", "day"), ("weekly", "week"), ("monthly", "month"), ("yearly", "year")]
     ),
@@ -405,11 +409,48 @@ ORACLE: dict[str, str] = {
     # data quality
     "dq_row_count": _with(["contrat2"], _row_count("Contrat2", "contrat2")),
     "dq_null_profile": _with(["contrat2"], _contract_nulls()),
-    "dq_critical_nulls": _with(["contrat2"], _critical("Contrat2", "contrat2", ["nusoc", "nucon", "prmaco", "etatco"])),
-    "dq_row_duplicates": _with(
+    "contract_mart_extremes": f"WITH silver AS ({EXTREMES})\n{STEPS['mart']}",
+    "text_statistics": f"WITH numbers AS ({NUMBERS_IN_TEXT})\n" + _all(_statistics("numbers", NUMBER_TYPES).values()),
+    "dq_amount_conformance": f"WITH extremes AS ({EXTREMES})\n"
+    + _result(
+        "extremes",
+        "amount_conformance",
+        "n",
+        _unless("n > 0", "WARN"),
+        "'prmaco'",
+        "'decimal(28,6)'",
+    )
+    + " FROM (SELECT count(*) FILTER (prmaco IS NOT NULL AND TRY_CAST(prmaco AS DECIMAL(28,6)) IS NULL) AS n FROM extremes)",
+    "dq_check_suite": _with(
         ["quality_input"],
-        _duplicates("lines", "row_duplicates", "quality_input", LINE_COLUMNS[:3], "WARN", "all columns"),
+        _all(
+            [
+                _critical("lines", "quality_input", ["l_linenumber"]),
+                _critical("lines", "quality_input", ["l_returnflag"]),
+                *[
+                    _result(
+                        "lines",
+                        "data_freshness",
+                        "NULL",
+                        "'PASS'",
+                        f"'{n}'",
+                        f"strftime(latest_{n}, '%Y-%m-%d %H:%M:%S')",
+                    )
+                    + f" FROM (SELECT max({n}) AS latest_{n} FROM quality_input)"
+                    for n in ("created_at", "created_at")
+                ],
+                *[
+                    _result("lines", "type_conformance", "n", _unless("n > 0", "FAIL"), "'l_returnflag'", f"'{t}: string'")
+                    + f" FROM (SELECT count(*) FILTER (l_returnflag IS NOT NULL AND TRY_CAST(l_returnflag AS {t}) IS NULL) "
+                    "AS n FROM quality_input)"
+                    for t in ("int", "date")
+                ],
+            ]
+        ),
     ),
+    "dq_critical_nulls": _with(["contrat2"], _critical("Contrat2", "contrat2", ["nusoc", "nucon", "prmaco", "etatco"])),
+    "dq_row_duplicates": "WITH copied AS (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_linenumber = 7)\n"
+    + _duplicates("lines", "row_duplicates", "copied", LINEITEM_TYPES, "WARN", "all columns"),
     "dq_key_duplicates": _with(
         ["quality_input"],
         _duplicates("lines", "key_duplicates", "quality_input", LINE_COLUMNS[:2], "WARN", "l_orderkey,l_linenumber"),
@@ -462,7 +503,7 @@ ORACLE: dict[str, str] = {
     ),
     "dq_key_unique": _with(["client"], _duplicates("Client", "key_unique", "client", ["nusoc"], "FAIL", "nusoc")),
     "dq_layer_growth": _with(
-        ["contrat2", "unique_contracts"],
+        ["contrat2", "contrat1", "unique_contracts"],
         _result(
             "Client_contrat_silver",
             "layer_growth",
@@ -470,7 +511,8 @@ ORACLE: dict[str, str] = {
             _unless("(a - b) * 100 > b * 10.0", "FAIL"),
             detail="'bronze=' || b || ' silver=' || a",
         )
-        + " FROM (SELECT (SELECT count(*) FROM contrat2) AS b, (SELECT count(*) FROM unique_contracts) AS a)",
+        + " FROM (SELECT (SELECT count(*) FROM contrat2) + (SELECT count(*) FROM contrat1) AS b, "
+        "(SELECT count(*) FROM unique_contracts) AS a)",
     ),
     "dq_gold_dimensions": _with(
         ["profile"],
@@ -524,6 +566,9 @@ GROUP BY 1""",
         f"""SELECT {_LANDED}, 'Contrat2' AS dataset FROM contrat2
   UNION ALL SELECT {_LANDED}, 'Contrat1' AS dataset FROM contrat1""",
     ),
+    "bronze_ingest_client": _with(
+        ["client"], f"SELECT {', '.join(f'CAST({n} AS {t}) AS {n}' for n, t in CLIENT_TYPES.items())} FROM client"
+    ),
     "silver_contracts": _with(["silver"], "SELECT * FROM silver"),
     "client_profile": _with(["profile"], "SELECT * FROM profile"),
     "bronze_to_silver_gate": _with(

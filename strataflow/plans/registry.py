@@ -19,7 +19,7 @@ from strataflow.operators import projections as p
 from strataflow.operators.dedup import keep_first, total_order, union_sources
 from strataflow.operators.joins import balanced_join
 from strataflow.plans import bronze, gate, gold, silver
-from strataflow.plans.views import table, view, view_over
+from strataflow.plans.views import EXTREMES, NUMBERS_IN_TEXT, table, view, view_over
 from strataflow.session import scratch_path
 from strataflow.sources import catalog, delimited, layers
 from strataflow.streaming import kpis
@@ -288,6 +288,21 @@ def column_statistics(spark, sf_dir):
     return aggregates.column_statistics(table(spark, sf_dir, "lineitem"))
 
 
+def _over_orders(spark, sf_dir, sql):
+    table(spark, sf_dir, "orders").createOrReplaceTempView("orders")
+    return spark.sql(sql)
+
+
+@_query
+def contract_mart_extremes(spark, sf_dir):
+    return aggregates.contract_mart(_over_orders(spark, sf_dir, EXTREMES))
+
+
+@_query
+def text_statistics(spark, sf_dir):
+    return aggregates.column_statistics(_over_orders(spark, sf_dir, NUMBERS_IN_TEXT))
+
+
 @_query
 def retention_rate(spark, sf_dir):
     return aggregates.retention_rate(_decoded(spark, sf_dir, contrat_actif=p.contract_active()))
@@ -323,7 +338,24 @@ def dq_critical_nulls(spark, sf_dir):
 
 @_query
 def dq_row_duplicates(spark, sf_dir):
-    return quality.row_duplicates(view(spark, sf_dir, "quality_input").drop("created_at"), "lines")
+    lines = table(spark, sf_dir, "lineitem")
+    return quality.row_duplicates(union_sources(lines, lines.where("l_linenumber = 7")), "lines")
+
+
+@_query
+def dq_amount_conformance(spark, sf_dir):
+    amounts = _over_orders(spark, sf_dir, EXTREMES)
+    return quality.run_checks(amounts, "extremes", [quality.amount_conformance(["prmaco"])])
+
+
+@_query
+def dq_check_suite(spark, sf_dir):
+    """Two checks of each kind in one scan."""
+    lines = view(spark, sf_dir, "quality_input")
+    checks = [quality.critical_nulls(["l_linenumber"]), quality.critical_nulls(["l_returnflag"])]
+    checks += [quality.freshness(lines, ["created_at"]), quality.freshness(lines, ["created_at"])]
+    checks += [quality.type_conformance(lines, {"l_returnflag": kind}) for kind in ("int", "date")]
+    return quality.run_checks(lines, "lines", checks)
 
 
 @_query
@@ -400,10 +432,10 @@ def dq_key_unique(spark, sf_dir):
 
 @_query
 def dq_layer_growth(spark, sf_dir):
-    bronze_rows, older = view(spark, sf_dir, "contrat2"), view(spark, sf_dir, "contrat1")
+    bronze_rows = union_sources(view(spark, sf_dir, "contrat2"), view(spark, sf_dir, "contrat1"))
     # Silver has one row per contract key, so its rows are counted as distinct keys: two columns are moved, not 43.
-    keys = union_sources(*[silver.conform(source).select(*c.CONTRACT_KEY) for source in (bronze_rows, older)])
-    return quality.layer_growth(bronze_rows, keys.distinct(), c.SILVER_DATASET, names=("bronze", "silver"))
+    keys = silver.conform(bronze_rows).select(*c.CONTRACT_KEY).distinct()
+    return quality.layer_growth(bronze_rows, keys, c.SILVER_DATASET, names=("bronze", "silver"))
 
 
 @_query
@@ -518,9 +550,7 @@ def catalog_table_query(spark, sf_dir):
     database, name = "strataflow_gold", "run_log_" + path.rsplit("-", 1)[-1]
     catalog.create_database(spark, database, "registered layers", scratch_path(spark, "database"))
     catalog.create_external_table(spark, database, name, path, fields)
-    # One entry per folder, read from the folder names: the catalog is kept on the driver.
-    folders = stored.select(*layers.DAY_PARTS).distinct().collect()
-    catalog.add_partitions(spark, database, name, [row.asDict() for row in folders])
+    catalog.recover_partitions(spark, database, name)
     days = spark.table(f"{database}.{name}").groupBy(*layers.DAY_PARTS)
     return days.agg(F.count(F.lit(1)).alias("n_runs"), F.sum("records_out").alias("total_records"))
 
@@ -536,6 +566,13 @@ def bronze_ingest(spark, sf_dir):
     return union_sources(*contracts)
 
 
+@_query
+def bronze_ingest_client(spark, sf_dir):
+    base = scratch_path(spark, "lake")
+    bronze.ingest_bronze(spark, _landed(spark, sf_dir), base)
+    return bronze.read_bronze(spark, base, "Client")
+
+
 @_query
 def silver_contracts(spark, sf_dir):
     return silver.silver_contracts(*[view(spark, sf_dir, n) for n in ("contrat2", "contrat1", "client")], as_of=AS_OF)

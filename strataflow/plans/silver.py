@@ -6,11 +6,12 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from strataflow import contracts as c
 from strataflow.functions.columns import try_cast
 from strataflow.operators.dedup import dedup_by_priority, keep_first, total_order, union_sources
-from strataflow.operators.joins import HEAVY_KEY_ROWS, balanced_join
+from strataflow.operators.joins import balanced_join
 from strataflow.operators.projections import (
     cast_columns,
     decode_contracts,
@@ -21,7 +22,11 @@ from strataflow.operators.projections import (
 
 
 def conform(contracts: DataFrame) -> DataFrame:
-    return contracts.transform(cast_columns).transform(fill_defaults)
+    """Typed columns, then defaults; a premium that is no finite number counts as missing."""
+    typed = cast_columns(contracts)
+    amounts = [f.name for f in typed.schema.fields if f.name in c.CONTRACT_DEFAULTS and f.dataType == DoubleType()]
+    finite = {n: F.when(F.abs(F.col(n)) < F.lit(float("inf")), F.col(n)) for n in amounts}
+    return fill_defaults(typed.withColumns(finite) if finite else typed)
 
 
 def unique_contracts(*sources: DataFrame) -> DataFrame:
@@ -45,7 +50,7 @@ def unique_clients(clients: DataFrame) -> DataFrame:
     return keep_first(slim, [c.CLIENT_KEY], total_order(slim, [], skip=[c.CLIENT_KEY]))
 
 
-def contract_keys(*sources: DataFrame) -> DataFrame:
+def client_numbers(*sources: DataFrame) -> DataFrame:
     """Client number of every source row, typed as in silver: one column of the bronze files."""
     return union_sources(*[s.select(try_cast(F.col(c.CLIENT_KEY), "int").alias(c.CLIENT_KEY)) for s in sources])
 
@@ -54,9 +59,7 @@ def attach_clients(
     contracts: DataFrame,
     clients: DataFrame,
     as_of: dt.date,
-    key_frequencies_from: DataFrame | None = None,
     one_row_per_client: bool = True,
-    min_heavy_rows: int = HEAVY_KEY_ROWS,
 ) -> DataFrame:
     """Left join to the client columns, and the client's age.
 
@@ -64,13 +67,7 @@ def attach_clients(
     a client listed twice doubles its contracts.
     """
     lookup = unique_clients(clients) if one_row_per_client else client_columns(clients)
-    joined = balanced_join(
-        contracts,
-        lookup,
-        c.CLIENT_KEY,
-        key_frequencies_from=key_frequencies_from,
-        min_rows=min_heavy_rows,
-    )
+    joined = balanced_join(contracts, lookup, c.CLIENT_KEY)
     return derive_client_age(joined, as_of)
 
 
@@ -81,8 +78,6 @@ DERIVED = ["age_client", "client_jeune", "anciennete_contrat"]
 
 def silver_contracts(contrat2: DataFrame, contrat1: DataFrame, clients: DataFrame, as_of: dt.date) -> DataFrame:
     sources = (contrat2, contrat1)
-    silver = attach_clients(
-        clean_contracts(*sources, as_of=as_of), clients, as_of, key_frequencies_from=contract_keys(*sources)
-    )
+    silver = attach_clients(clean_contracts(*sources, as_of=as_of), clients, as_of)
     base = [n for n in contrat2.columns if n != c.CLIENT_KEY]
     return silver.select(c.CLIENT_KEY, *base, *DECODED, *c.CLIENT_ATTRIBUTES, *DERIVED)

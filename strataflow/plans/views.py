@@ -104,3 +104,19 @@ def view_over(spark: SparkSession, name: str, source: DataFrame) -> DataFrame:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return view_over(spark, name, table(spark, sf_dir, TABLE_OF[name]))
+
+
+# Contracts with premiums that a mean must survive, of every order; the SQL runs in both engines.
+EXTREMES = """SELECT CAST(o_orderkey AS INT) AS nucon, CAST(o_custkey AS INT) AS nusoc, o_orderpriority AS type_vehicule,
+      CASE o_orderkey % 97 WHEN 0 THEN CAST('NaN' AS DOUBLE) WHEN 1 THEN CAST('Infinity' AS DOUBLE)
+        WHEN 2 THEN CAST('1e30' AS DOUBLE) WHEN 3 THEN CAST(NULL AS DOUBLE)
+        ELSE o_totalprice + CAST('0.005' AS DOUBLE) END AS prmaco,
+      CAST(o_orderkey % 30 AS INT) AS anciennete_contrat, CAST(o_orderkey % 9 AS INT) AS nb_garanties
+      FROM orders"""
+
+# Numbers as people type them into text columns, of every order.
+NUMBERS_IN_TEXT = """SELECT o_orderkey AS id, '  ' || CAST(o_orderkey % 1000 AS STRING) || ' ' AS padded,
+      CASE o_orderkey % 5 WHEN 0 THEN '-' || CAST(o_orderkey % 100 AS STRING) WHEN 1 THEN '1e' || CAST(o_orderkey % 4 AS STRING)
+        WHEN 2 THEN '.5' WHEN 3 THEN 'none' ELSE 'x1' END AS mixed,
+      CASE WHEN o_orderkey % 1000 = 0 THEN 'NaN' ELSE '7' END AS not_a_number
+      FROM orders"""

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -37,16 +36,12 @@ def build_session(app_name: str = "strataflow", master: str | None = None, **con
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a temporary folder of
-    its own; a cluster session without it is refused, because a folder on one
-    machine is not visible to the others.
+    A session without that setting takes a folder below its warehouse, which is shared as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="strataflow-")
+    folder = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "scratch")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from strataflow.operators.dedup import dedup_by_priority, union_sources
-from strataflow.operators.joins import balanced_join, heavy_keys
+from strataflow.operators.joins import balanced_join
 from tests.conftest import plan_of, rows
 
 
@@ -46,60 +46,44 @@ keys = st.one_of(st.none(), st.integers(0, 4))
 def test_balanced_join_is_the_plain_join(spark, how, facts, lookup):
     left = spark.createDataFrame([(k, i) for i, k in enumerate(facts)], "k INT, f INT")
     right = spark.createDataFrame([(k, i) for i, k in enumerate(lookup)], "k INT, r INT")
-    got = balanced_join(left, right, "k", how, min_rows=3, splits=4)
+    got = balanced_join(left, right, "k", how)
     plain = left.join(right, "k", how)
     assert got.columns == plain.columns
     assert rows(got) == rows(plain)
 
 
-def test_rows_of_a_heavy_key_reach_many_tasks(spark):
-    facts = spark.range(20_000, numPartitions=8).select(
-        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, None).otherwise(F.col("id").cast("int")).alias("k"),
-        F.lit("same").alias("v"),
-    )
-    lookup = spark.createDataFrame([(7, "seven"), (2, "two")], "k INT, name STRING")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        joined = balanced_join(facts, lookup, "k", min_rows=1000)
-        spread = joined.groupBy(F.spark_partition_id().alias("p")).agg(
-            F.count_if(F.col("k") == 7).alias("hot"), F.count_if(F.col("k").isNull()).alias("none")
-        )
-        per_task = spread.collect()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert sum(r.hot for r in per_task) == 6667 and sum(r.none for r in per_task) == 6667
-    assert max(r.hot for r in per_task) < 6667 and max(r.none for r in per_task) < 6667
-    assert joined.where("k = 7 AND name = 'seven'").count() == 6667
-
-
-def test_heavy_list_is_bounded(spark):
-    df = spark.range(100).select((F.col("id") % 10).alias("k"))
-    assert heavy_keys(df, "k", min_rows=1, at_most=3).count() == 3
-    assert heavy_keys(df, "k", min_rows=11).count() == 0
-
-
-def test_keys_below_the_heavy_limit_are_left_to_adaptive_execution(spark):
-    """Both sides come straight from a shuffle, even after a dedup of the lookup, so a skewed join can be split."""
+SPLITTING = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+}
+
+
+@pytest.fixture
+def splitting(spark):
+    """Sizes from which adaptive execution splits a partition, brought down to those of the test."""
+    before = {key: spark.conf.get(key, None) for key in SPLITTING}
+    for key, value in SPLITTING.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("hot", ["7", "CAST(NULL AS INT)"])
+@pytest.mark.parametrize("how", ["left", "left_anti"])
+def test_a_hot_key_is_split_even_after_a_dedup_of_the_lookup(spark, splitting, how, hot):
     facts = spark.range(60_000, numPartitions=8).select(
-        F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id").cast("int")).alias("k"),
-        F.sha2(F.col("id").cast("string"), 256).alias("v"),
+        F.expr(f"IF(id % 3 > 0, {hot}, CAST(id AS INT))").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v")
     )
-    lookup = dedup_by_priority(["k"], spark.range(60_000).select(F.col("id").cast("int").alias("k"), "id"))
-    conf = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
-    }
-    before = {key: spark.conf.get(key, None) for key in conf}
-    for key, value in conf.items():
-        spark.conf.set(key, value)
-    try:
-        joined = balanced_join(facts, lookup, "k")
-        assert len(joined.collect()) == 60_000
-        assert "SortMergeJoin(skew=true)" in plan_of(joined)
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    numbers = spark.range(60_000).where("id <> 7").select(F.col("id").cast("int").alias("k"), "id")
+    joined = balanced_join(facts, dedup_by_priority(["k"], numbers), "k", how)
+    assert len(joined.collect()) == (60_000 if how == "left" else 40_000)
+    assert "SortMergeJoin(skew=true)" in plan_of(joined)
+
+
+def test_an_anti_join_moves_each_lookup_key_once(spark):
+    facts, lookup = spark.range(10).selectExpr("id AS k"), spark.range(1000).selectExpr("id % 3 AS k", "id AS r")
+    joined = balanced_join(facts, lookup, "k", "left_anti")
+    assert rows(joined) == [(i,) for i in range(3, 10)] and "HashAggregate" in plan_of(joined)

@@ -97,13 +97,6 @@ def test_silver_keeps_unmatched_contracts_and_one_client_each(spark):
     assert fanned.count() == 5
 
 
-def test_heavy_client_numbers_do_not_change_silver(spark, sources):
-    contracts = silver.clean_contracts(*sources[:2], as_of=AS_OF)
-    plain = silver.attach_clients(contracts, sources[2], AS_OF)
-    salted = silver.attach_clients(contracts, sources[2], AS_OF, silver.contract_keys(*sources[:2]), min_heavy_rows=5)
-    assert plain.exceptAll(salted).isEmpty() and salted.exceptAll(plain).isEmpty()
-
-
 def test_profile_from_silver_and_from_bronze(spark, sources):
     stored = gold.client_profile(silver.silver_contracts(*sources, as_of=AS_OF))
     assert rows(stored) == rows(gold.client_profile_from_bronze(*sources, AS_OF))
@@ -112,7 +105,7 @@ def test_profile_from_silver_and_from_bronze(spark, sources):
 
 
 def test_key_count_reads_key_columns_only(spark, sources):
-    plan = plan_of(silver.contract_keys(*sources[:2]).distinct())
+    plan = plan_of(silver.client_numbers(*sources[:2]).distinct())
     assert "o_totalprice" not in plan and "o_custkey" in plan
 
 
