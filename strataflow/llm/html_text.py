@@ -27,7 +27,9 @@ from strataflow.llm.common import sized
 LABELLED = 500
 READ_BYTES = 8_000_000
 PRIOR = 8.0  # labelled tokens a prior score is worth
-LIMIT = 6.0  # largest score of a token, either way
+# Least and largest score: of a word, of a tag, and of either inside a menu, advert or the like.  Those are left out of
+# the text wherever they stand, so they must not cut an article that goes on behind them.
+WORD, TAG, SIDE = (-3.0, 1.0), (-4.0, -0.05), (-0.25, -0.05)
 
 # Comments, whole elements whose content is no text, tags, and text between them; whatever is left open runs to the end.
 TOKEN = re.compile(
@@ -145,9 +147,9 @@ class Page:
                 o.side = False
         top = self._stack[-1]
         side = top.side or self._side(name, attributes)
-        self._token(f"<{name}>" if name in BLOCKS else "<inline>", 1, -1)
+        self._token(tag_kind("", name, side), 1, -1)
         if name not in VOID and not attributes.endswith("/"):
-            where = name if name in BLOCKS else top.where
+            where = heading(name) if name in BLOCKS else top.where
             within = top.within or name in ("article", "main")
             self._stack.append(Open(name, side, within, where, (top.link and name not in BLOCKS) or name == "a"))
             self._names[name] += 1
@@ -158,11 +160,12 @@ class Page:
     def _close(self, name: str, _: str) -> None:
         if name in BLOCKS:
             self._fresh = True
+        kind = tag_kind("/", name, self._stack[-1].side)
         if self._names[name]:
             while self._stack[-1].name != name:
                 self._pop()
             self._pop()
-        self._token(f"</{name}>" if name in BLOCKS else "</inline>", 1, -1)
+        self._token(kind, 1, -1)
 
     def run(self, scores: dict[str, float]) -> tuple[int, int]:
         """First token and the one after the last of the run with the largest positive sum; the earliest of equals."""
@@ -182,12 +185,27 @@ class Page:
         return "\n".join(line for line in lines if line)
 
 
+def heading(name: str) -> str:
+    """All headings are one kind of block."""
+    return "h" if len(name) == 2 and name[0] == "h" and name[1].isdigit() else name
+
+
+def tag_kind(slash: str, name: str, side: bool) -> str:
+    return "tag in side" if side else f"<{slash}{heading(name) if name in BLOCKS else 'inline'}>"
+
+
 def prior(kind: str) -> float:
     """Score of a token kind before any page was seen."""
-    if kind.startswith("word in "):
-        where = kind[8:]
-        return -1.0 if where == "side" or where.endswith(" link") else 1.0
-    return -0.5 if "inline" in kind or kind in ("<p>", "</p>") else -2.0
+    if kind.endswith(" side"):
+        return -0.1
+    if kind.startswith("word"):
+        return -1.0 if kind.endswith(" link") else 1.0
+    return -0.25 if kind.strip("</>") in ("inline", "p", "h", "li") else -2.0
+
+
+def bounded(kind: str, score: float) -> float:
+    low, high = SIDE if kind.endswith(" side") else WORD if kind.startswith("word") else TAG
+    return max(low, min(high, score))
 
 
 def tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,8 +232,7 @@ def learned_scores(pages: DataFrame, labelled: int = LABELLED) -> dict[str, floa
         odds = math.log((r.a + 1) / (r.b + 1))
         weight = (r.a + r.b) / (r.a + r.b + PRIOR)
         score = weight * odds + (1 - weight) * prior(r.kind)
-        # Words may score either way; a tag never adds to a run.
-        scores[r.kind] = max(-LIMIT, min(LIMIT if r.kind.startswith("word") else -0.05, score))
+        scores[r.kind] = bounded(r.kind, score)
     return scores
 
 

@@ -268,6 +268,8 @@ def mixture_weights(table: pd.DataFrame, kept_words: int) -> np.ndarray:
     """Weights (bigram, unigram, uniform) per bucket, by expectation-maximisation with one pseudo-count each."""
     weights = np.full((BUCKETS, 3), 1 / 3)
     weights[0] = 0, 0.5, 0.5
+    if not kept_words:
+        weights[:] = 0, 0, 1
     for b, rows in table.groupby("bucket"):
         n = rows["n"].to_numpy(float)
         p = np.zeros((len(rows), 3))

@@ -13,8 +13,8 @@ inequality two fingerprints whose distances to one pivot differ by more than the
 dropped on the largest difference over all pivots, and the survivors are verified bit by bit.
 
 *Large buckets.*  A bucket of more than ``BUCKET`` fingerprints is not compared in one task: its members are filed
-again by blocks of the bits the bucket leaves free (64, then 32, 16, 8 bits), which keeps the search exact and ends
-where so few bits are free that a bucket cannot be large.  From each bucket only the edges of a spanning forest leave,
+again by blocks of the bits the bucket leaves free (64, then 32, 16, 8 bits), which keeps the search exact.  It ends at
+``FEW_BITS`` free bits, where a bucket has at most 4,096 fingerprints.  From each bucket only the edges of a spanning forest leave,
 never all its pairs.
 
 *A second fingerprint.*  A wide radius over 64 bits would link unrelated texts of a large corpus by chance.  A second
@@ -41,6 +41,7 @@ SEED = 42
 PIVOTS = 16
 KEPT = 3  # blocks that two fingerprints filed together agree on
 BUCKET = 2_048
+FEW_BITS = 12
 AT_ONCE = 1_000_000  # pairs looked at together
 BYTE_BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
@@ -192,7 +193,8 @@ def links_in_buckets(keyed: DataFrame, radius: int, second_radius: int, bucket:
         value, second, free, key = part
         run_of = np.cumsum(starts_of(free, key))
         size = np.bincount(run_of)[run_of]
-        large, several = size > bucket, (size > 1) & (size <= bucket)
+        large = (size > bucket) & (np.bitwise_count(free) > FEW_BITS)
+        several = (size > 1) & ~large
         if large.any():
             yield links_of(value[large], second[large], None, None, free[large])
         if several.any():
@@ -221,7 +223,7 @@ def links_in_buckets(keyed: DataFrame, radius: int, second_radius: int, bucket:
             if last:
                 yield from complete([x[:last] for x in part])
             held = [x[last:] for x in part]
-            if len(held[0]) > bucket:
+            if len(held[0]) > bucket and int(held[2][0]).bit_count() > FEW_BITS:
                 yield links_of(held[0], held[1], None, None, held[2])
                 overflown, held = (held[2][0], held[3][0]), None
         if held is not None:
