@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,7 +37,7 @@ CLASSES = 64  # character classes
 MAX_UNIT = 24  # longer fragments are read in windows of this many characters, half overlapping
 LANDMARKS = 96
 FIT_TOXIC, FIT_CLEAN, CALIBRATION = 800, 1_600, 1_200
-CACHE = 1_000_000  # fragments whose score a task remembers
+CACHE = 150_000  # words whose score a task remembers
 
 SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n")
 SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
@@ -295,7 +295,7 @@ class Reader:
         self.machine = machine
         self.known: dict[str, tuple[float, str]] = {}
 
-    def worst(self, texts: list[str | None]) -> Iterator[tuple[float, str]]:
+    def worst(self, texts: Iterable[str | None]) -> Iterator[tuple[float, str]]:
         for text in texts:
             words = {w for s in sentences(text) for w in s.split()}
             missing = [(w, w.strip(EDGES)) for w in words if w not in self.known]
@@ -316,7 +316,7 @@ def scored(docs: DataFrame, machine: Machine | float) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(machine)
         for batch in batches:
-            found = list(reader.worst(batch.column("text").to_pylist()))
+            found = list(reader.worst(t.as_py() for t in batch.column("text")))
             scores = [machine.probability(margin) for margin, _ in found]
             predicted = pa.array([int(s >= 0.5) for s in scores], pa.int32())
             columns = [pa.array(scores, pa.float64()), predicted, pa.array([w for _, w in found], pa.string())]
@@ -337,7 +337,8 @@ def kept_documents(docs: DataFrame, machine: Machine | float) -> DataFrame:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(machine)
         for batch in batches:
-            verdicts = [machine.probability(m) < 0.5 for m, _ in reader.worst(batch.column("text").to_pylist())]
+            texts = (t.as_py() for t in batch.column("text"))
+            verdicts = [machine.probability(m) < 0.5 for m, _ in reader.worst(texts)]
             yield batch.filter(pa.array(verdicts, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
