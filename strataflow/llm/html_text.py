@@ -225,7 +225,11 @@ def tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learned_scores(pages: DataFrame, labelled: int = LABELLED) -> dict[str, float]:
     """Scores by token kind; there are a few dozen kinds, whatever the pages."""
     marked = pages.where(F.col("html").rlike(r"(?i)<(article|main)\b")).select("html", F.xxhash64("html").alias("draw"))
-    sample = marked.orderBy("draw", "html").limit(labelled).select("html")
+    # Only the draws are sorted; the pages up to the last one drawn are then read where they lie.
+    last = marked.select("draw").orderBy("draw").limit(labelled).agg(F.max("draw").alias("last")).first().last
+    if last is None:
+        return {}
+    sample = marked.where(F.col("draw") <= last).select("html")
     counts = sample.mapInArrow(tallied, "kind string, within long, without long").groupBy("kind")
     scores = {}
     for r in counts.agg(F.sum("within").alias("a"), F.sum("without").alias("b")).collect():
