@@ -33,9 +33,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS = 16
 SHINGLES_AT_ONCE = 1_000_000
-READ_BYTES = 4_000_000
+READ_BYTES = 2_000_000
 WINDOWS_AT_ONCE = 4_096
-WORDS_KNOWN = 1_000_000
+WORDS_KNOWN = 200_000
 FACTORS = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1)) % 2**64 | 1 for i in range(SHINGLE)], np.uint64)
 MATCHES = "doc_id long, item_id long, start long, n_words long, similarity double, distance int"
 
