@@ -6,10 +6,11 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strataflow.contracts import BRONZE_DATASETS
 from strataflow.operators.calendar import add_ingestion_columns
-from strataflow.sources.delimited import scan_delimited
+from strataflow.sources.delimited import REJECT_COLUMN, scan_delimited
 from strataflow.sources.layers import WriteAudit, audited_write, layer_path, read_day, read_layer
 
 INGESTION_PARTS = ["ingestion_year", "ingestion_month", "ingestion_day"]
@@ -21,22 +22,37 @@ def ingest_bronze(
     base: str,
     datasets: Sequence[tuple[str, str, str]] = BRONZE_DATASETS,
     run_day: dt.date | None = None,
+    quarantine: bool = False,
+    log: list[WriteAudit] | None = None,
     **scan,
 ) -> list[WriteAudit]:
     """Ingest every landing file; each is one Spark job that parses, writes and counts.
 
     Each run replaces the whole dataset.  With ``run_day`` it adds the
-    ingestion columns and replaces that day's partition only.
+    ingestion columns and replaces that day's partition only.  With
+    ``quarantine`` rows that do not fit the schema are kept apart, with their
+    raw lines, in the layer ``rejects``; the file is then parsed for either.
+    Each audit, of a failed write too, goes to ``log`` as it is made.
     """
-    audits = []
+    log = [] if log is None else log
+    first = len(log)
     for dataset, file, schema in datasets:
-        rows = scan_delimited(spark, f"{landing.rstrip('/')}/{file}", schema, **scan)
+        try:
+            rows = scan_delimited(spark, f"{landing.rstrip('/')}/{file}", schema, keep_rejects=quarantine, **scan)
+        except Exception:
+            log.append(WriteAudit("bronze", dataset, 0, 0.0, "FAILURE"))
+            raise
         parts: list[str] = []
         if run_day is not None:
             rows, parts = add_ingestion_columns(rows, run_day), INGESTION_PARTS
-        path = layer_path(base, "bronze", dataset)
-        audits.append(audited_write(rows, path, "bronze", dataset, replace_partitions=parts))
-    return audits
+        outputs = [("bronze", rows)]
+        if quarantine:
+            rejected = F.col(REJECT_COLUMN).isNotNull()
+            lines = rows.where(rejected).withColumnRenamed(REJECT_COLUMN, "raw_line")
+            outputs = [("bronze", rows.where(~rejected).drop(REJECT_COLUMN)), ("rejects", lines)]
+        for layer, frame in outputs:
+            audited_write(frame, layer_path(base, layer, dataset), layer, dataset, replace_partitions=parts, log=log)
+    return log[first:]
 
 
 def read_bronze(spark: SparkSession, base: str, dataset: str, run_day: dt.date | None = None) -> DataFrame:

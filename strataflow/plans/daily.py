@@ -12,9 +12,10 @@ import uuid
 from collections.abc import Callable
 from decimal import Decimal
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from strataflow.contracts import SILVER_DATASET
+from strataflow.operators.calendar import add_gold_columns, add_transform_columns
 from strataflow.plans.bronze import ingest_bronze, read_bronze
 from strataflow.plans.gold import client_profile, contract_analysis
 from strataflow.plans.silver import silver_contracts
@@ -23,6 +24,7 @@ from strataflow.sources.layers import (
     WriteAudit,
     audited_write,
     layer_path,
+    read_day,
     read_layer,
     set_target_file_size,
 )
@@ -35,24 +37,51 @@ WRITE_LOG = "run_date DATE, run_id STRING, layer STRING, dataset STRING, n_rows
 LINEAGE_LOG = "run_date DATE, run_id STRING, source STRING, target STRING, n_rows LONG"
 
 
-def run_silver(spark: SparkSession, base: str, as_of: dt.date, by_day: bool = False) -> list[WriteAudit]:
-    """The write follows the last shuffle of the plan, whose partitions adaptive execution has sized already."""
+SILVER_PARTS = ["transform_year", "transform_month", "transform_day"]
+GOLD_PARTS = ["year", "month", "day"]
+
+
+def run_silver(
+    spark: SparkSession, base: str, as_of: dt.date, by_day: bool = False, log: list[WriteAudit] | None = None
+) -> list[WriteAudit]:
+    """The write follows the last shuffle of the plan, whose partitions adaptive execution has sized already.
+
+    With ``by_day`` the landing files are a day's snapshot: silver has a partition for each day, made of that day's
+    bronze, and a rerun replaces its own day only.
+    """
     day = as_of if by_day else None
     bronze = [read_bronze(spark, base, name, day) for name in ("Contrat2", "Contrat1", "Client")]
-    silver = silver_contracts(*bronze, as_of=as_of)
-    return [audited_write(silver, layer_path(base, "silver", SILVER_DATASET), "silver", SILVER_DATASET)]
+    silver, parts = silver_contracts(*bronze, as_of=as_of), []
+    if by_day:
+        silver, parts = add_transform_columns(silver, as_of), SILVER_PARTS
+    path = layer_path(base, "silver", SILVER_DATASET)
+    return [audited_write(silver, path, "silver", SILVER_DATASET, replace_partitions=parts, log=log)]
+
 
+def read_silver(spark: SparkSession, base: str, day: dt.date | None = None) -> DataFrame:
+    """Silver, or the snapshot of a day without its partition columns."""
+    path = layer_path(base, "silver", SILVER_DATASET)
+    if day is None:
+        return read_layer(spark, path)
+    return read_day(spark, path, day, SILVER_PARTS).drop(*SILVER_PARTS, "transform_timestamp", "data_quality_score")
 
-def run_gold(spark: SparkSession, base: str) -> list[WriteAudit]:
-    """Each mart reads only its own columns of silver, so silver is not cached."""
-    silver = read_layer(spark, layer_path(base, "silver", SILVER_DATASET))
+
+def run_gold(
+    spark: SparkSession, base: str, as_of: dt.date, by_day: bool = False, log: list[WriteAudit] | None = None
+) -> list[WriteAudit]:
+    """Each mart reads only its own columns of silver, so silver is not cached.  With ``by_day`` each day keeps its marts."""
+    silver = read_silver(spark, base, as_of if by_day else None)
     marts = [
         ("client_profile_analysis", client_profile(silver), None),
         ("contract_analysis", contract_analysis(silver), 1),
     ]
-    return [
-        audited_write(mart, layer_path(base, "gold", name), "gold", name, files=files) for name, mart, files in marts
-    ]
+    audits = []
+    for name, mart, files in marts:
+        parts = GOLD_PARTS if by_day else []
+        frame = add_gold_columns(mart, as_of) if by_day else mart
+        path = layer_path(base, "gold", name)
+        audits.append(audited_write(frame, path, "gold", name, files=files, replace_partitions=parts, log=log))
+    return audits
 
 
 class RunJournal:
@@ -69,22 +98,23 @@ class RunJournal:
         self.edges: list[tuple] = []
 
     def job(
-        self, name: str, sources: list[str], rows_in: int | None, work: Callable[[], list[WriteAudit]]
+        self, name: str, sources: list[str], rows_in: int | None, work: Callable[[list[WriteAudit]], list[WriteAudit]]
     ) -> list[WriteAudit]:
+        """Runs ``work``, which adds an audit to the list it is given for each write as it ends, well or not."""
         at, started = dt.datetime.now(dt.timezone.utc), time.monotonic()
-        audits, status, error = [], "SUCCESS", None
+        audits: list[WriteAudit] = []
+        status, error = "SUCCESS", None
         try:
-            audits = work()
+            work(audits)
         except Exception as failure:
             status, error = "FAILURE", type(failure).__name__
             raise
         finally:
             seconds = Decimal(str(round(time.monotonic() - started, 2)))
-            rows_out = sum(a.rows for a in audits)
             head = (self.as_of, self.run_id)
-            self.runs.append((*head, at, name, status, error, seconds, rows_in, rows_out))
+            self.runs.append((*head, at, name, status, error, seconds, rows_in, sum(a.rows for a in audits)))
             self.writes += [(*head, a.layer, a.dataset, a.rows, a.seconds, a.status) for a in audits]
-            for a in audits:
+            for a in (a for a in audits if a.status == "SUCCESS"):
                 # A landing file feeds the bronze dataset of its own name only.
                 feeding = [s for s in sources if a.layer != "bronze" or s.split("/")[-1] == f"{a.dataset}.csv"]
                 self.edges += [(*head, source, f"{a.layer}/{a.dataset}", a.rows) for source in feeding]
@@ -106,28 +136,33 @@ def run_day(
 ) -> list[WriteAudit]:
     """All three layers in order; the first failure ends the run, and is in the log like the jobs before it.
 
-    With ``by_day`` the bronze layer keeps earlier days beside the one loaded.
+    With ``by_day`` all layers keep earlier days beside the one loaded.
     """
     journal = RunJournal(as_of)
     names = ["Contrat2", "Contrat1", "Client"]
+    day = as_of if by_day else None
+    landed, stored = [f"landing/{n}.csv" for n in names], [f"bronze/{n}" for n in names]
     try:
         bronze = journal.job(
-            "bronze_ingest",
-            [f"landing/{n}.csv" for n in names],
-            None,
-            lambda: ingest_bronze(spark, landing, base, run_day=as_of if by_day else None, **scan),
+            "bronze_ingest", landed, None, lambda log: ingest_bronze(spark, landing, base, run_day=day, log=log, **scan)
         )
+        good = [a for a in bronze if a.layer == "bronze"]
         silver = journal.job(
-            "silver_transform",
-            [f"bronze/{n}" for n in names],
-            sum(a.rows for a in bronze),
-            lambda: run_silver(spark, base, as_of, by_day),
+            "silver_transform", stored, sum(a.rows for a in good), lambda log: run_silver(spark, base, as_of, by_day, log)
         )
         gold = journal.job(
-            "gold_transform", [f"silver/{SILVER_DATASET}"], silver[0].rows, lambda: run_gold(spark, base)
+            "gold_transform",
+            [f"silver/{SILVER_DATASET}"],
+            silver[0].rows,
+            lambda log: run_gold(spark, base, as_of, by_day, log),
         )
-    finally:
-        journal.save(spark, base)
+    except Exception as failure:
+        try:
+            journal.save(spark, base)
+        except Exception as second:  # noqa: BLE001  the first failure is the one to raise
+            failure.add_note(f"the logs of this run were not saved: {second}")
+        raise
+    journal.save(spark, base)
     return bronze + silver + gold
 
 
@@ -136,7 +171,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--landing", required=True, help="folder with the delimited files")
     parser.add_argument("--base", required=True, help="folder of the bronze, silver, gold and logs layers")
     parser.add_argument("--execution-date", type=dt.date.fromisoformat, default=dt.date.today())
-    parser.add_argument("--by-day", action="store_true", help="replace only this date in the bronze layer")
+    parser.add_argument("--by-day", action="store_true", help="replace only this date in each layer")
     parser.add_argument("--file-size-mb", type=int, default=128, help="size of the files to aim at")
     args = parser.parse_args(argv)
     spark = build_session("strataflow-daily")

@@ -566,6 +566,22 @@ GROUP BY 1""",
         f"""SELECT {_LANDED}, 'Contrat2' AS dataset FROM contrat2
   UNION ALL SELECT {_LANDED}, 'Contrat1' AS dataset FROM contrat1""",
     ),
+    "bronze_ingest_rejects": _with(
+        ["contrat2"],
+        """SELECT CAST(nusoc AS INT) AS nusoc, CAST(nucon AS INT) AS nucon,
+  CASE WHEN prmaco IS NOT NULL AND TRY_CAST(prmaco AS DOUBLE) IS NULL THEN 'rejected' ELSE 'good' END AS kept_as
+  FROM contrat2""",
+    ),
+    "silver_by_day": _with(
+        ["silver", "conformed"],
+        """SELECT 2026 AS transform_year, 3 AS transform_month, 8 AS transform_day, count(*) AS n_contracts,
+  sum(TRY_CAST(prmaco AS DECIMAL(28,6))) AS total_premium FROM silver
+  UNION ALL
+  SELECT 2026, 3, 9, count(*), sum(TRY_CAST(prmaco AS DECIMAL(28,6))) FROM (
+    SELECT prmaco, row_number() OVER (PARTITION BY nusoc, nucon ORDER BY """
+        + _nulls_last([n for n in CONTRACT_NAMES if n not in ("nusoc", "nucon")])
+        + """) AS rn FROM conformed) WHERE rn = 1""",
+    ),
     "bronze_ingest_client": _with(
         ["client"], f"SELECT {', '.join(f'CAST({n} AS {t}) AS {n}' for n, t in CLIENT_TYPES.items())} FROM client"
     ),

@@ -18,7 +18,7 @@ from strataflow.operators import aggregates, calendar, quality, runlog
 from strataflow.operators import projections as p
 from strataflow.operators.dedup import keep_first, total_order, union_sources
 from strataflow.operators.joins import balanced_join
-from strataflow.plans import bronze, gate, gold, silver
+from strataflow.plans import bronze, daily, gate, gold, silver
 from strataflow.plans.views import EXTREMES, NUMBERS_IN_TEXT, table, view, view_over
 from strataflow.session import scratch_path
 from strataflow.sources import catalog, delimited, layers
@@ -573,6 +573,34 @@ def bronze_ingest_client(spark, sf_dir):
     return bronze.read_bronze(spark, base, "Client")
 
 
+@_query
+def bronze_ingest_rejects(spark, sf_dir):
+    """Rows taken in and rows set apart, for the file whose premiums do not all fit their type."""
+    base, dataset = scratch_path(spark, "lake"), c.BRONZE_DATASETS[0]
+    bronze.ingest_bronze(spark, _landed(spark, sf_dir), base, [dataset], quarantine=True)
+    good = bronze.read_bronze(spark, base, dataset[0]).select("nusoc", "nucon", F.lit("good").alias("kept_as"))
+    lines = layers.read_layer(spark, layers.layer_path(base, "rejects", dataset[0]))
+    rejected = lines.select("nusoc", "nucon", F.lit("rejected").alias("kept_as"))
+    return good.unionByName(rejected)
+
+
+@_query
+def silver_by_day(spark, sf_dir):
+    """Two days loaded, the second one twice, the last time from fewer files: each day keeps its own snapshot."""
+    base, parts = scratch_path(spark, "lake"), daily.SILVER_PARTS
+    second = AS_OF + dt.timedelta(days=1)
+    both, newer = _landed(spark, sf_dir), scratch_path(spark, "landing")
+    for (_, file, _), name in zip(c.BRONZE_DATASETS, ["contrat2", "contrat2", "client"], strict=True):
+        delimited.write_delimited(view(spark, sf_dir, name), f"{newer}/{file}")
+    for landing, day in ((both, AS_OF), (both, second), (newer, second)):
+        bronze.ingest_bronze(spark, landing, base, run_day=day)
+        daily.run_silver(spark, base, day, by_day=True)
+    stored = layers.read_layer(spark, layers.layer_path(base, "silver", c.SILVER_DATASET))
+    return stored.groupBy(*parts).agg(
+        F.count(F.lit(1)).alias("n_contracts"), F.sum(money(F.col("prmaco"))).alias("total_premium")
+    )
+
+
 @_query
 def silver_contracts(spark, sf_dir):
     return silver.silver_contracts(*[view(spark, sf_dir, n) for n in ("contrat2", "contrat1", "client")], as_of=AS_OF)

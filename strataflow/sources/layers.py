@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import time
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -79,21 +80,37 @@ def audited_write(
     mode: str = "overwrite",
     files: int | None = None,
     replace_partitions: Sequence[str] = (),
+    log: list[WriteAudit] | None = None,
 ) -> WriteAudit:
     """Write and count in the same job, so that nothing is computed or read twice.
 
     The count sits in the final stage, next to the writer: a shuffle stage that
     runs again after an executor was lost cannot count its rows a second time.
     With ``replace_partitions`` only the folders the rows belong to are replaced.
+    The audit is added to ``log``, that of a write that failed too.
     """
-    seen = Observation(f"{layer}/{dataset}")
-    started = time.monotonic()
-    out = df if files is None else df.coalesce(files)
-    writer = out.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.mode(mode)
-    if replace_partitions:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*replace_partitions)
-    writer.parquet(path)
-    return WriteAudit(layer, dataset, int(seen.get["n_rows"]), time.monotonic() - started)
+    with audited(layer, dataset, log) as audit:
+        seen = Observation(f"{layer}/{dataset}")
+        out = df if files is None else df.coalesce(files)
+        writer = out.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.mode(mode)
+        if replace_partitions:
+            writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*replace_partitions)
+        writer.parquet(path)
+        audit["rows"] = int(seen.get["n_rows"])
+    return WriteAudit(layer, dataset, audit["rows"], audit["seconds"])
+
+
+@contextmanager
+def audited(layer: str, dataset: str, log: list[WriteAudit] | None = None) -> Iterator[dict]:
+    """Times what happens inside and adds its audit to ``log``: SUCCESS with the rows noted, or FAILURE."""
+    note, started, status = {"rows": 0}, time.monotonic(), "FAILURE"
+    try:
+        yield note
+        status = "SUCCESS"
+    finally:
+        note["seconds"] = time.monotonic() - started
+        if log is not None:
+            log.append(WriteAudit(layer, dataset, note["rows"], note["seconds"], status))
 
 
 def set_target_file_size(spark: SparkSession, megabytes: int = 128) -> None:

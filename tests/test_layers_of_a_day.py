@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from strataflow import contracts as c
 from strataflow.operators import runlog
-from strataflow.plans import daily, gold, silver
+from strataflow.plans import bronze, daily, gold, silver
 from strataflow.plans.views import view
 from strataflow.sources import delimited, layers
 from strataflow.streaming import kpis
@@ -38,15 +38,16 @@ def test_run_equals_the_direct_plans(spark, landing, sources, base, by_day):
         ("gold", "client_profile_analysis"),
         ("gold", "contract_analysis"),
     ]
-    stored = layers.read_layer(spark, layers.layer_path(base, "silver", c.SILVER_DATASET))
+    stored = daily.read_silver(spark, base, AS_OF if by_day else None)
     direct = silver.silver_contracts(*sources, as_of=AS_OF)
     assert stored.columns == direct.columns and len(stored.columns) == 57
     assert stored.exceptAll(direct).isEmpty() and direct.exceptAll(stored).isEmpty()
     assert audits[3].rows == direct.count()
     mart = layers.read_layer(spark, layers.layer_path(base, "gold", "contract_analysis"))
-    assert rows(mart) == rows(gold.contract_analysis_from_bronze(*sources[:2], AS_OF))
+    added = ["date", *daily.GOLD_PARTS, "aggregation_level"] if by_day else []
+    assert rows(mart.drop(*added)) == rows(gold.contract_analysis_from_bronze(*sources[:2], AS_OF))
     profile = layers.read_layer(spark, layers.layer_path(base, "gold", "client_profile_analysis"))
-    assert rows(profile) == rows(gold.client_profile_from_bronze(*sources, AS_OF))
+    assert rows(profile.drop(*added)) == rows(gold.client_profile_from_bronze(*sources, AS_OF))
 
 
 def test_logs_answer_the_run_log_queries(spark, landing, base):
@@ -64,12 +65,24 @@ def test_logs_answer_the_run_log_queries(spark, landing, base):
     assert len(rows(runlog.lineage_edges(edges))) == 3 + 3 + 2
 
 
-def test_days_stand_side_by_side_and_a_rerun_replaces_its_own(spark, landing, base):
-    next_day = AS_OF + dt.timedelta(days=1)
-    for day in (AS_OF, next_day, next_day):
-        audits = daily.run_day(spark, landing, base, day, by_day=True)
-    bronze = layers.read_layer(spark, layers.layer_path(base, "bronze", "Client"))
-    assert rows(bronze.groupBy("ingestion_day").count()) == [(8, audits[2].rows), (9, audits[2].rows)]
+def test_days_stand_side_by_side_and_a_rerun_replaces_its_own(spark, landing, base, tmp_path):
+    """The second day brings other contracts; the first day's silver and marts stay."""
+    other, next_day = str(tmp_path / "other"), AS_OF + dt.timedelta(days=1)
+    for (_, file, _), name in zip(c.BRONZE_DATASETS, ["contrat1", "contrat1", "client"], strict=True):
+        delimited.write_delimited(view(spark, SF, name), f"{other}/{file}")
+    first = daily.run_day(spark, landing, base, AS_OF, by_day=True)
+    for _ in range(2):
+        later = daily.run_day(spark, other, base, next_day, by_day=True)
+    for layer, dataset, day in [
+        ("bronze", "Client", "ingestion_day"),
+        ("silver", c.SILVER_DATASET, "transform_day"),
+        ("gold", "client_profile_analysis", "day"),
+        ("gold", "contract_analysis", "day"),
+    ]:
+        stored = layers.read_layer(spark, layers.layer_path(base, layer, dataset)).groupBy(day).count()
+        written = {a.dataset: a.rows for a in first}[dataset], {a.dataset: a.rows for a in later}[dataset]
+        assert rows(stored) == [(8, written[0]), (9, written[1])]
+    assert first[3].rows != later[3].rows
 
 
 def test_first_failure_stops_and_is_logged(spark, base):
@@ -79,6 +92,35 @@ def test_first_failure_stops_and_is_logged(spark, base):
     assert rows(log, "job_name", "status", "error") == [("bronze_ingest", "FAILURE", "AnalysisException")]
 
 
+def test_writes_before_a_failure_stay_in_the_log(spark, base, tmp_path):
+    landing = str(tmp_path / "partial")
+    delimited.write_delimited(view(spark, SF, "contrat2"), f"{landing}/Contrat2.csv")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        daily.run_day(spark, landing, base, AS_OF)
+    writes = layers.read_layer(spark, layers.layer_path(base, "logs", "write_log"))
+    n = view(spark, SF, "contrat2").count()
+    assert rows(writes, "dataset", "n_rows", "status") == [("Contrat1", 0, "FAILURE"), ("Contrat2", n, "SUCCESS")]
+    runs = layers.read_layer(spark, layers.layer_path(base, "logs", "run_log"))
+    assert rows(runs, "status", "records_out") == [("FAILURE", n)]
+
+
+def test_a_write_that_breaks_is_timed_and_logged(spark, base):
+    log = []
+    with pytest.raises(Exception, match="broken"):
+        layers.audited_write(spark.range(3).selectExpr("raise_error('broken') AS x"), f"{base}/x", "gold", "x", log=log)
+    assert [(a.layer, a.dataset, a.rows, a.status) for a in log] == [("gold", "x", 0, "FAILURE")] and log[0].seconds > 0
+
+
+def test_rejected_rows_are_kept_apart(spark, base, tmp_path):
+    landing = str(tmp_path / "dirty")
+    delimited.write_delimited(view(spark, SF, "contrat2"), f"{landing}/Contrat2.csv")
+    audits = bronze.ingest_bronze(spark, landing, base, c.BRONZE_DATASETS[:1], quarantine=True)
+    assert [(a.layer, a.status) for a in audits] == [("bronze", "SUCCESS"), ("rejects", "SUCCESS")]
+    assert sum(a.rows for a in audits) == view(spark, SF, "contrat2").count() and audits[1].rows > 0
+    stored = bronze.read_bronze(spark, base, "Contrat2")
+    assert stored.columns == list(c.schema_types(c.CONTRACT_SCHEMA))
+
+
 def test_silver_keeps_unmatched_contracts_and_one_client_each(spark):
     contract = "nusoc INT, nucon INT, cateco STRING, prmaco DOUBLE, etatco STRING, asaico INT, pfco INT, usagco1 INT"
     new = spark.createDataFrame([(1, 1, "A", 10.0, "1", 2000, 5, 0), (9, 1, "M", None, None, None, None, 1)], contract)
