@@ -1,8 +1,6 @@
-"""Time this package against the plain way of writing the same work: ``python bench_shapes.py``.
+"""Time three of this package's operators against ordinary Spark code for the same rows: ``python bench_shapes.py``.
 
-The plain way: one action per column in checks, one action to count and one to
-write, a Python pass over all rows to size files, everything cached in between.
-Same input files, session and machine for both; medians of three after a warm-up.
+The join is timed on even keys and on keys of which one holds a third of the rows.  Medians of three after a warm-up.
 """
 
 from __future__ import annotations
@@ -10,117 +8,51 @@ from __future__ import annotations
 import json
 import os
 import statistics
-import tempfile
 import time
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataflow import contracts as c
-from strataflow.operators import quality
-from strataflow.plans import daily
-from strataflow.plans.bronze import ingest_bronze, read_bronze
-from strataflow.plans.gold import client_profile, contract_analysis
-from strataflow.plans.registry import AS_OF
-from strataflow.plans.silver import conform, silver_contracts, unique_contracts
+from strataflow.operators import aggregates
+from strataflow.operators.joins import balanced_join
+from strataflow.plans.silver import conform, unique_clients, unique_contracts
 from strataflow.plans.views import view
 from strataflow.session import build_session
-from strataflow.sources import delimited, layers
 
 
-class Plain:
-    def __init__(self, spark, base, out):
-        self.spark, self.base, self.out = spark, base, out
-        self.contracts = read_bronze(spark, base, "Contrat2")
-
-    def null_profile(self):
-        total = self.contracts.count()
-        for name in self.contracts.columns:
-            _ = total and self.contracts.where(F.col(name).isNull()).count() / total
-
-    def bronze_validation(self):
-        self.null_profile()
-        _ = self.contracts.count() - self.contracts.distinct().count()
-
-    def silver_profile(self):
-        silver = layers.read_layer(self.spark, layers.layer_path(self.base, "silver", c.SILVER_DATASET))
-        silver.describe().toPandas()
-        total = silver.count()
-        for name in silver.columns:
-            for _ in range(2):
-                _ = silver.where(F.col(name).isNull()).count() / total
-
-    def silver(self):
-        bronze = [read_bronze(self.spark, self.base, name) for name in ("Contrat2", "Contrat1", "Client")]
-        df = silver_contracts(*bronze, as_of=AS_OF)
-        df.count()
-        df.write.mode("overwrite").parquet(f"{self.out}/silver")
-
-    def gold(self):
-        silver = layers.read_layer(self.spark, layers.layer_path(self.base, "silver", c.SILVER_DATASET)).cache()
-        for name, mart in [("profile", client_profile(silver)), ("mart", contract_analysis(silver).cache())]:
-            mart.count()
-            mart.write.mode("overwrite").parquet(f"{self.out}/{name}")
-            mart.unpersist()
-        silver.unpersist()
-
-    def keyed_dedup(self):
-        older = read_bronze(self.spark, self.base, "Contrat1")
-        both = conform(self.contracts).unionByName(conform(older)).dropDuplicates(c.CONTRACT_KEY)
-        both.write.format("noop").mode("overwrite").save()
-
-    def file_layout(self):
-        self.contracts.count()
-        megabytes = self.contracts.rdd.map(lambda row: len(str(row))).sum() / 2**20
-        self.contracts.repartition(max(1, int(megabytes / 128))).write.mode("overwrite").parquet(f"{self.out}/layout")
-
-
-class Ours(Plain):
-    def null_profile(self):
-        quality.run_checks(self.contracts, "Contrat2", [quality.null_profile(self.contracts.columns)]).collect()
-
-    def bronze_validation(self):
-        quality.validate_bronze(self.contracts, "Contrat2").collect()
-
-    def silver_profile(self):
-        silver = layers.read_layer(self.spark, layers.layer_path(self.base, "silver", c.SILVER_DATASET))
-        quality.validate_silver(silver, "silver").collect()
-
-    def silver(self):
-        daily.run_silver(self.spark, self.base, AS_OF)
-
-    def gold(self):
-        daily.run_gold(self.spark, self.base)
-
-    def keyed_dedup(self):
-        both = unique_contracts(self.contracts, read_bronze(self.spark, self.base, "Contrat1"))
-        both.write.format("noop").mode("overwrite").save()
-
-    def file_layout(self):
-        layers.write_layer(layers.rebalanced(self.contracts), f"{self.out}/layout")
+def seconds(make: Callable[[], DataFrame]) -> float:
+    started = time.perf_counter()
+    make().write.format("noop").mode("overwrite").save()
+    return time.perf_counter() - started
 
 
 def main() -> None:
-    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
-    conf = {"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g", "spark.ui.enabled": "false"}
-    spark = build_session("shapes", f"local[{cpus}]", **conf, **{"spark.ui.showConsoleProgress": "false"})
+    sf_dir, cpus = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1"), os.environ.get("BENCH_CPUS", "8")
+    quiet = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"}
+    spark = build_session("shapes", f"local[{cpus}]", **quiet, **{"spark.sql.shuffle.partitions": cpus})
     spark.sparkContext.setLogLevel("ERROR")
-    root = tempfile.mkdtemp(prefix="shapes-")
-    for (_, file, _), name in zip(c.BRONZE_DATASETS, ["contrat2", "contrat1", "client"], strict=True):
-        delimited.write_delimited(view(spark, sf_dir, name), f"{root}/landing/{file}")
-    ingest_bronze(spark, f"{root}/landing", f"{root}/lake")
-    daily.run_silver(spark, f"{root}/lake", AS_OF)
+    newer, older, clients = (view(spark, sf_dir, n) for n in ("contrat2", "contrat1", "client"))
+    contracts, lookup = conform(newer), unique_clients(clients)
+    hot = contracts.withColumn(c.CLIENT_KEY, F.expr("IF(nucon % 3 = 0, 7, nusoc)"))
+    both = conform(newer).unionByName(conform(older))
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    pairs = {
+        "join, even keys": (lambda: balanced_join(contracts, lookup, c.CLIENT_KEY), lambda: contracts.join(lookup, c.CLIENT_KEY, "left")),
+        "join, one hot key": (lambda: balanced_join(hot, lookup, c.CLIENT_KEY), lambda: hot.join(lookup, c.CLIENT_KEY, "left")),
+        "one row per key": (lambda: unique_contracts(newer, older), lambda: both.dropDuplicates(c.CONTRACT_KEY)),
+        "column statistics": (lambda: aggregates.column_statistics(lines), lambda: lines.summary("count", "mean", "stddev", "min", "max")),
+    }
     report = {}
-    for work in ("null_profile", "bronze_validation", "keyed_dedup", "silver", "gold", "silver_profile", "file_layout"):
-        report[work] = {}
-        for shape, kind in (("plain", Plain), ("ours", Ours)):
-            timings = []
-            for _ in range(4):
-                started = time.perf_counter()
-                getattr(kind(spark, f"{root}/lake", f"{root}/plain"), work)()
-                timings.append(time.perf_counter() - started)
-            report[work][shape] = round(statistics.median(timings[1:]), 2)
-    print(json.dumps(report))
+    for name, forms in pairs.items():
+        timed = []
+        for form in forms:
+            seconds(form)
+            timed.append(round(statistics.median(seconds(form) for _ in range(3)), 2))
+        report[name] = dict(zip(("package", "ordinary"), timed, strict=True))
+    spark.stop()
+    print(json.dumps({"sf": os.path.basename(sf_dir), "cpus": cpus, "seconds": report}))
 
 
 if __name__ == "__main__":

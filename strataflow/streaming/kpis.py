@@ -47,5 +47,6 @@ def current_kpis(spark: SparkSession, log: DataFrame, width: str, out: str) -> D
     """
     live = _timed(log)
     closed = spark.read.schema(windowed_kpis(live, width).schema).parquet(out)
-    last_closed = closed.select(F.coalesce(F.max("window_end"), F.timestamp_seconds(F.lit(0)))).scalar()
-    return closed.unionByName(windowed_kpis(live.where(F.col("event_ts") >= last_closed), width))
+    last_closed = closed.select(F.max("window_end")).scalar()
+    recent = last_closed.isNull() | (F.col("event_ts") >= last_closed)
+    return closed.unionByName(windowed_kpis(live.where(recent), width))

@@ -187,7 +187,9 @@ def test_stream_over_two_arrivals_equals_the_batch(spark, base):
 
 def test_kpis_before_any_window_has_closed(spark, base):
     log = view(spark, SF, "run_log").withColumn("event_ts", F.col("event_ts").cast("timestamp"))
-    log.where("event_ts < '2024-01-01 12:00:00'").write.parquet(f"{base}/in")
+    # as early as a log may start: nothing is cut off before some date
+    early = log.where("event_ts < '2024-01-01 12:00:00'").withColumn("event_ts", F.expr("event_ts - INTERVAL 80 YEARS"))
+    early.write.parquet(f"{base}/in")
     stream = kpis.stream_files(spark, f"{base}/in", log.schema)
     kpis.start_kpis(stream, "1 day", f"{base}/out", f"{base}/state").awaitTermination()
     arrived = spark.read.parquet(f"{base}/in")
