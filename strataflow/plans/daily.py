@@ -13,9 +13,12 @@ from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strataflow.contracts import SILVER_DATASET
+from strataflow.contracts import CONTRACT_KEY, SILVER_DATASET
+from strataflow.operators import quality
 from strataflow.operators.calendar import add_gold_columns, add_transform_columns
+from strataflow.operators.dedup import union_sources
 from strataflow.plans.bronze import ingest_bronze, read_bronze
 from strataflow.plans.gold import client_profile, contract_analysis
 from strataflow.plans.silver import silver_contracts
@@ -27,6 +30,7 @@ from strataflow.sources.layers import (
     read_day,
     read_layer,
     set_target_file_size,
+    stored_bytes,
 )
 
 RUN_LOG = (
@@ -131,6 +135,28 @@ class RunJournal:
                 log.write.mode("append").partitionBy("run_date").parquet(layer_path(base, "logs", name))
 
 
+def log_state(spark: SparkSession, base: str, as_of: dt.date, run_id: str, by_day: bool = False) -> None:
+    """Adds the silver checks of this run, and the bytes that each layer now takes, to the logs.
+
+    ``check_results`` is the history that ``quality.quality_kpis`` reads; ``data_volume`` has a row per dataset and run.
+    """
+    at = dt.datetime.now(dt.timezone.utc)
+    marks = {"run_date": F.lit(as_of), "run_id": F.lit(run_id), "run_at": F.lit(at)}
+    silver = read_silver(spark, base, as_of if by_day else None)
+    checks = [
+        quality.non_empty(),
+        quality.critical_nulls(CONTRACT_KEY),
+        quality.amount_conformance(["prmaco"]),
+    ]
+    results = quality.run_checks(silver, SILVER_DATASET, checks)
+    results = results.unionByName(quality.key_duplicates(silver, CONTRACT_KEY, SILVER_DATASET))
+    volumes = [stored_bytes(spark, f"{base.rstrip('/')}/{layer}", layer) for layer in ("bronze", "silver", "gold")]
+    for name, rows in (("check_results", results), ("data_volume", union_sources(*volumes))):
+        # A row per check, and per dataset.
+        log = rows.withColumns(marks).coalesce(1)
+        log.write.mode("append").partitionBy("run_date").parquet(layer_path(base, "logs", name))
+
+
 def run_day(
     spark: SparkSession, landing: str, base: str, as_of: dt.date, by_day: bool = False, **scan
 ) -> list[WriteAudit]:
@@ -163,6 +189,7 @@ def run_day(
             failure.add_note(f"the logs of this run were not saved: {second}")
         raise
     journal.save(spark, base)
+    log_state(spark, base, as_of, journal.run_id, by_day)
     return bronze + silver + gold
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataflow import contracts as c
-from strataflow.operators import runlog
+from strataflow.operators import quality, runlog
 from strataflow.plans import bronze, daily, gold, silver
 from strataflow.plans.views import view
 from strataflow.sources import delimited, layers
@@ -61,6 +61,18 @@ def test_logs_answer_the_run_log_queries(spark, landing, base):
         ("silver_transform", "SUCCESS", 3),
     ]
     assert runlog.transform_efficiency(log).count() == 6
+    history = layers.read_layer(spark, layers.layer_path(base, "logs", "check_results"))
+    assert rows(history.groupBy("check_name").count()) == [
+        ("amount_conformance", 3),
+        ("critical_nulls", 3),
+        ("key_duplicates", 3),
+        ("row_count", 3),
+    ]
+    passed = history.where("status = 'PASS'").count() / 12 * 100
+    kpis_of = quality.quality_kpis(history, F.trunc("run_at", "year")).collect()
+    assert [(r.duplicate_record_count, r.validation_pass_rate) for r in kpis_of] == [(0, round(passed, 4))]
+    volume = layers.read_layer(spark, layers.layer_path(base, "logs", "data_volume")).where("size_bytes > 0")
+    assert rows(volume.groupBy("layer").count()) == [("bronze", 9), ("gold", 6), ("silver", 3)]
     edges = layers.read_layer(spark, layers.layer_path(base, "logs", "lineage"))
     assert len(rows(runlog.lineage_edges(edges))) == 3 + 3 + 2
 
