@@ -64,10 +64,10 @@ class Tokens:
     """The tokens of one block: a document's words, then one end."""
 
     doc_of: np.ndarray  # document of each token
-    word: np.ndarray  # key of the token alone
-    context: np.ndarray  # key of the word before, or of the begin
+    word: np.ndarray  # number of the token's word in the block
+    context: np.ndarray  # number of the word before, or of the begin
     pair: np.ndarray  # key of both
-    begin: int
+    known: np.ndarray  # keys of the block's words by number: first the end and the begin
 
     @staticmethod
     def of(texts: list[str | None]) -> Tokens:
@@ -83,18 +83,15 @@ class Tokens:
         hashes = mixed(np.array(bounds + [xxhash.xxh64_intdigest(w, 42) for w in list(known)[2:]], np.uint64))
         # The last bit tells single words from pairs.
         hashes |= np.uint64(1)
-        sequence = hashes[np.array(ids, np.int64)]
-        is_token = np.ones(len(ids), bool)
-        begins = np.cumsum(np.array(lengths, np.int64) + 1) - np.array(lengths, np.int64) - 1
-        is_token[begins] = False
-        at = np.flatnonzero(is_token)
+        sequence = np.array(ids, np.int32)
+        at = np.flatnonzero(sequence != 1)  # all but the begins
         word, context = sequence[at], sequence[at - 1]
-        pair = mixed(context * np.uint64(0x9E3779B97F4A7C15) + word) & ~np.uint64(1)
-        return Tokens(np.repeat(np.arange(len(texts)), lengths), word, context, pair, int(hashes[1]))
+        pair = mixed(hashes[context] * np.uint64(0x9E3779B97F4A7C15) + hashes[word]) & ~np.uint64(1)
+        return Tokens(np.repeat(np.arange(len(texts)), lengths), word, context, pair, hashes)
 
     def keys(self) -> np.ndarray:
         """Distinct keys of the block, in order."""
-        return np.unique(np.concatenate([self.word, self.pair, np.array([self.begin], np.uint64)]))
+        return np.unique(np.concatenate([self.known, self.pair]))
 
 
 def range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
@@ -147,17 +144,15 @@ def requests(blocks: DataFrame, ranges: int, test_fold: int, tune_fold: int) ->
                 _, folds, texts = opened(blob)
                 tokens = Tokens.of(texts)
                 keys = tokens.keys()
-                fold = folds[tokens.doc_of]
+                pair, known = np.searchsorted(keys, tokens.pair), np.searchsorted(keys, tokens.known)
                 counts = []
                 for part in ((folds != test_fold) & (folds != tune_fold), (folds == tune_fold) & (tune_fold != test_fold)):
                     chosen = part[tokens.doc_of]
-                    c = np.zeros(len(keys), np.uint32)
-                    for column in (tokens.word, tokens.pair):
-                        some, n = np.unique(column[chosen], return_counts=True)
-                        c[np.searchsorted(keys, some)] = n
-                    c[np.searchsorted(keys, np.uint64(tokens.begin))] = part.sum()
-                    counts.append(c)
-                del fold, tokens
+                    c = np.bincount(pair[chosen], minlength=len(keys))
+                    c += np.bincount(known[tokens.word[chosen]], minlength=len(keys))
+                    c[known[1]] = part.sum()
+                    counts.append(c.astype("<u4"))
+                del tokens, pair, known
                 cuts = np.searchsorted(range_of(keys, ranges), np.arange(ranges + 1))
                 rows = []
                 for r in range(ranges):
@@ -174,7 +169,7 @@ def requests(blocks: DataFrame, ranges: int, test_fold: int, tune_fold: int) ->
 
 def answers(asked: DataFrame) -> DataFrame:
     """The totals of each request's keys, in its order; and per range, under block -1, what all single words sum to."""
-    begin = Tokens.of([]).begin
+    begin = int(Tokens.of([]).known[1])
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         keys = [np.cumsum(unsqueeze(b, "<u8")) for b in rows["keys"]]
@@ -230,8 +225,8 @@ class Looked:
         total = sum(np.concatenate([unsqueeze(b, "<u8") for b in rows[name]]).astype(np.int64) for name in parts)
         if len(total) != len(keys):
             raise RuntimeError("a block has changed between two readings")
-        find = lambda column: total[np.searchsorted(keys, column)]
-        return Looked(tokens, find(tokens.pair), find(tokens.context), find(tokens.word))
+        known = total[np.searchsorted(keys, tokens.known)]
+        return Looked(tokens, total[np.searchsorted(keys, tokens.pair)], known[tokens.context], known[tokens.word])
 
     def estimates(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         return self.pair / np.maximum(self.context, 1), self.word / max(n, 1)
