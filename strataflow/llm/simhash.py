@@ -24,6 +24,7 @@ fingerprint, of shingles of another length, can be carried along and must then a
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -42,6 +43,7 @@ PIVOTS = 16
 KEPT = 3  # blocks that two fingerprints filed together agree on
 BUCKET = 2_048
 FEW_BITS = 12
+CHOICES_AT_ONCE = 24
 AT_ONCE = 1_000_000  # pairs looked at together
 BYTE_BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
@@ -154,8 +156,8 @@ def masks(free: int, radius: int) -> list[int]:
     return [sum(chosen) for chosen in combinations(blocks, radius)]
 
 
-def filed(rows: DataFrame, radius: int) -> DataFrame:
-    """Rows (value, second, free) repeated under each key: the bits kept, and the bits left free."""
+def filed(rows: DataFrame, radius: int, choices: slice) -> DataFrame:
+    """Rows (value, second, free) repeated under each key of some choices: the bits kept, and the bits left free."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, list[int]] = {}
@@ -163,7 +165,7 @@ def filed(rows: DataFrame, radius: int) -> DataFrame:
             values, second, free = unsigned(batch, "value", "second", "free")
             for mask in np.unique(free).tolist():
                 part, more = values[free == mask], second[free == mask]
-                for left_free in known.setdefault(mask, masks(mask, radius)):
+                for left_free in known.setdefault(mask, masks(mask, radius)[choices]):
                     m = np.full(len(part), left_free, np.uint64)
                     arrays = [pa.array(x.view(np.int64)) for x in (part, more, m, part & ~m)]
                     yield pa.RecordBatch.from_arrays(arrays, ["value", "second", "free", "key"])
@@ -244,16 +246,17 @@ def linked_fingerprints(
     rows = classes.select("value", "second", F.lit(-1).cast("long").alias("free"))
     found = []
     while True:
-        links = links_in_buckets(filed(rows, radius), radius, second_radius, bucket, pivots)
-        step = stored(links, "simhash-links")
-        found.append(step.where("b IS NOT NULL").selectExpr("xxhash64(a, a2) AS a", "xxhash64(b, b2) AS b"))
-        rows = step.where("b IS NULL").selectExpr("a AS value", "a2 AS second", "free")
+        large = []
+        # A few choices of blocks at a time: a wide radius has many, and their rows would all be in flight together.
+        for first in range(0, len(masks(2**64 - 1, radius)), CHOICES_AT_ONCE):
+            keyed = filed(rows, radius, slice(first, first + CHOICES_AT_ONCE))
+            step = stored(links_in_buckets(keyed, radius, second_radius, bucket, pivots), "simhash-links")
+            found.append(step.where("b IS NOT NULL").selectExpr("xxhash64(a, a2) AS a", "xxhash64(b, b2) AS b"))
+            large.append(step.where("b IS NULL").selectExpr("a AS value", "a2 AS second", "free"))
+        rows = reduce(DataFrame.unionByName, large)
         if rows.isEmpty():
             break
-    edges = found[0]
-    for more in found[1:]:
-        edges = edges.unionByName(more)
-    return edges.distinct()
+    return reduce(DataFrame.unionByName, found).distinct()
 
 
 def near_duplicate_groups(
