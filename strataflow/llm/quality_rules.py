@@ -184,7 +184,10 @@ def kept_documents(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> D
     The signals are computed once for the labels and once more beside the texts, which therefore never move.
     """
     cutoffs = stored(certified_cutoffs(labelled_rows(stored_signals(docs), labels), risk), "quality-cutoffs")
-    return with_verdict(with_signals(docs), cutoffs).where("_kept").select(*docs.columns)
+    # The rows travel as one column, so that their names meet none of ours.
+    names = [c for c in ("text", "lang") if c in docs.columns]
+    rows = with_signals(docs.select(F.struct("*").alias("_row"), *names))
+    return with_verdict(rows, cutoffs).where("_kept").select("_row.*")
 
 
 def oracle_sql(risk: Risk = Risk()) -> str:

@@ -286,5 +286,7 @@ def first_of_groups(docs: DataFrame, prints: DataFrame, **settings) -> DataFrame
     chosen = groups.select(F.col("component_id").alias("doc_id")).distinct()
     named = docs.join(chosen, "doc_id", "left_semi")
     unnamed = docs.where("doc_id IS NULL")
-    both = named.unionByName(unnamed).withColumn("_text", F.xxhash64("text"))
-    return both.dropDuplicates(["doc_id", "_text"]).drop("_text")
+    both = named.unionByName(unnamed)
+    mark = "_text" + "_" * max(map(len, docs.columns))  # longer than any name there is
+    once = both.withColumn(mark, F.xxhash64("text")).dropDuplicates(["doc_id", mark])
+    return once.select(*docs.columns)
