@@ -2,8 +2,8 @@
 
 Texts are compared as lower-case runs of ASCII letters and digits, in shingles of five.  A document is read in
 overlapping windows, one set for every size class of the templates; a window is half as long again as the largest
-template of its class, and half a template further the next one starts, so every notice lies whole in a window.  A
-window that holds ``CONTAINMENT`` of a template's shingles has a Jaccard similarity of at least 1/8 with it (a template is at
+template of its class, and half a template further the next one starts, up to the last shingle, so every notice lies
+whole in a window.  A window that holds ``CONTAINMENT`` of a template's shingles has a Jaccard similarity of at least 1/8 with it (a template is at
 least half as long as the largest of its class).  With one row in each of ``BANDS`` bands such a pair shares a band with
 probability ``1 - (7 / 8) ** 64``, over 0.9998.  Retrieved pairs are verified by the exact
 share of the template's shingles in the window.
@@ -128,7 +128,7 @@ def licenses_found(
     step = step.select("doc_id", packed.alias("_s")).where(f"arrays_overlap(_s.h, {wanted})")
     step = step.select("doc_id", F.col("_s.h").alias("_h"))
     windows = ", ".join(
-        f"transform(sequence(0, greatest(size(_h) - {n}, 0), {stride}), s -> named_struct('class', {n}, 'start', s, "
+        f"transform(sequence(0, size(_h) - 1, {stride}), s -> named_struct('class', {n}, 'start', s, "
         f"'part', slice(_h, s + 1, {max(1, n + stride - SHINGLE + 1)})))"
         for n, stride in every.items()
     )

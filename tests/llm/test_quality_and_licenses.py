@@ -118,3 +118,19 @@ def test_changed_notices_and_edge_texts(documents):
     assert found[6, "MIT grant"] == 1.0 and {d for d, _ in found} == {1, 6}
     assert license_scan.licenses_found(docs.limit(0)).count() == 0
     assert license_scan.licenses_found(docs, {}).count() == 0
+
+
+def test_notices_at_the_very_end_are_found_at_every_length(documents):
+    of = {name: n for n, names in license_scan.size_classes(license_scan.TEMPLATES).items() for name in names}
+    texts, expected = [], set()
+    for i, (name, notice) in enumerate(license_scan.TEMPLATES.items()):
+        n = len(license_scan.words(notice))
+        for j in range(max(1, of[name] // 2)):
+            texts.append((1000 * i + j, f"{filler(2 * of[name] + j - n, j)} {notice}"))
+    runs = lambda words: {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+    known = {name: runs(license_scan.words(t)) for name, t in license_scan.TEMPLATES.items()}
+    for d, text in texts:
+        words = license_scan.words(text)
+        expected |= {(d, name) for name, own in known.items() if len(own & runs(words)) >= 0.8 * len(own)}
+    assert {d for d, _ in texts} == {d for d, _ in expected}
+    assert set(rows(license_scan.licenses_found(documents(*texts)), "doc_id", "license")) == expected
