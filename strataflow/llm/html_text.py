@@ -31,10 +31,24 @@ PRIOR = 8.0  # labelled tokens a prior score is worth
 # the text wherever they stand, so they must not cut an article that goes on behind them.
 WORD, TAG, SIDE = (-3.0, 1.0), (-4.0, -0.05), (-0.25, -0.05)
 
+# The head, whose end tag may be left out: it goes on as long as what can stand in it.  An element left open in it runs to
+# the end of the head, or of the page.
+HEAD_TEXT = "|".join(
+    rf"<{name}\b[^>]*>(?:.*?</{name}\s*>|.*?(?=</head\b|<body\b)|.*)"
+    for name in ("script", "style", "noscript", "template", "title", "noframes")
+)
+HEAD = (
+    rf"<head(?=[\s/>])[^>]*>(?>\s+|<!--(?:.*?-->|.*?(?=</head\b|<body\b)|.*)|{HEAD_TEXT}"
+    r"|</?(?:meta|link|base|basefont|bgsound)\b[^>]*>|</(?:script|style|noscript|template|title)\s*>|<[!?][^>]*>"
+    r")*+(?:</head\s*>)?"
+)
+# An svg without content: its slash is no part of an unquoted value.
+CLOSED_SVG = r"<svg(?:\s+[^\s=<>/\"']+(?:\s*=\s*(?:\"[^<\"]*\"|'[^<']*'|[^\s<>\"']+(?=\s)))?)*+\s*/>"
 # Comments, whole elements whose content is no text, tags, and text between them; whatever is left open runs to the end.
 TOKEN = re.compile(
-    r"(?is)<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|iframe|textarea|select|object|head)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"(?is)<!--.*?(?:-->|\Z)|{CLOSED_SVG}"
+    r"|<(script|style|noscript|template|svg|iframe|textarea|select|object)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"|{HEAD}"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-z][a-z0-9:-]*+)((?:[^<>\"']|\"[^\"<]*\"|'[^'<]*'|[\"'])*+)(?:>|\Z|(?=<))"
     r"|([^<]+|<)"

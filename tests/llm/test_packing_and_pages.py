@@ -156,6 +156,24 @@ def test_pages_without_marks_and_edge_pages(spark):
     assert html_text.extracted(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "before",
+    [
+        "<html><head><title>x</title><body><article>",
+        "<head><title>x</title><meta charset=utf8><div>",
+        "<head>\n<!-- <body> --><script>a = '</head>'</script><style>p{}</style></head><body>",
+        "<head><script>x</head><body>",
+        "<head><title>x</head><body>",
+        "<header>x</header>",
+        "<body><svg width='1' viewBox=\"0 0 1 1\"/>",
+        "<body><svg/><svg><text>x</text></svg><svg a=b/><text>x</text></svg>",
+    ],
+)
+def test_open_heads_and_closed_drawings_swallow_nothing(before):
+    text = "word " * 49 + "word"
+    assert html_text.Page(f"{before}<p>{text}</p>").main_text({}) == text
+
+
 def test_the_run_is_the_best_of_all_runs():
     draw = random.Random(8)
     scores = {"<div>": -3.0, "</div>": -1.5, "word in div": 1.0, "word in side": -1.0, "<nav>": -2.0, "</nav>": -0.5}
