@@ -282,7 +282,11 @@ def first_of_groups(docs: DataFrame, prints: DataFrame, **settings) -> DataFrame
 
     Of rows with one doc_id and one text one stays.  A row without id is taken for a document of its own text.
     """
-    groups = near_duplicate_groups(prints.where("doc_id IS NOT NULL"), **settings)
+    return first_rows(docs, near_duplicate_groups(prints.where("doc_id IS NOT NULL"), **settings))
+
+
+def first_rows(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """``first_of_groups`` for the rows of ``groups`` (doc_id, component_id)."""
     chosen = groups.select(F.col("component_id").alias("doc_id")).distinct()
     named = docs.join(chosen, "doc_id", "left_semi")
     unnamed = docs.where("doc_id IS NULL")
