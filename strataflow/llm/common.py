@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,8 +50,7 @@ def sized(batches: Iterable[pa.RecordBatch], text: str, bytes_at_once: int) -> I
     """Record batches cut so that each holds about ``bytes_at_once`` of ``text``, one row at least."""
     for batch in batches:
         start, size = 0, 0
-        lengths = [len(x) if x else 0 for x in batch.column(text).to_pylist()]
-        for i, n in enumerate(lengths):
+        for i, n in enumerate(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()):
             if size and size + n > bytes_at_once:
                 yield batch.slice(start, i - start)
                 start, size = i, 0

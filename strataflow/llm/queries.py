@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from strataflow.llm import decontamination, html_text, interpolation, license_scan, packing, quality_rules, simhash, token_lengths, toxicity, url_lists
+from strataflow.llm import decontamination, html_text, interpolation, license_scan, packing, periodic_runs, quality_rules, simhash, token_lengths, toxicity, url_lists
 from strataflow.llm.common import remainder, stored, table
 
 
@@ -75,6 +75,11 @@ def op10_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_lengths.with_suffix_sums(token_lengths.length_histogram(table(spark, sf_dir, "documents")))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document, of which every tenth was given one at its end."""
+    return periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.with_repeated_tails(table(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_license_scan": op2_license_scan,
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_simhash_groups": op9_simhash_groups,
     "op10_token_lengths": op10_token_lengths,
+    "op11_periodic_runs": op11_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
