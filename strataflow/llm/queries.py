@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from strataflow.llm import decontamination, html_text, interpolation, license_scan, packing, periodic_runs, quality_rules, simhash, token_lengths, toxicity, url_lists
+from strataflow.llm import decontamination, html_text, interpolation, license_scan, packing, periodic_runs, prefix_trie, quality_rules, simhash, token_lengths, toxicity, url_lists
 from strataflow.llm.common import remainder, stored, table
 
 
@@ -80,6 +80,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.with_repeated_tails(table(spark, sf_dir, "documents"))))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, rebuilt so that they share beginnings."""
+    turns = stored(prefix_trie.numbered_turns(table(spark, sf_dir, "conversations")), "turns")
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(turns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_license_scan": op2_license_scan,
@@ -92,10 +98,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash_groups": op9_simhash_groups,
     "op10_token_lengths": op10_token_lengths,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_prefix_trie": op12_prefix_trie,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
     "op2_license_scan": license_scan.oracle_sql(),
     "op3_quality_rules": quality_rules.oracle_sql(),
     "op5_url_lists": url_lists.ORACLE,
+    "op12_prefix_trie": prefix_trie.ORACLE,
 }
