@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from strataflow.llm import decontamination, html_text, interpolation, license_scan, packing, periodic_runs, prefix_trie, quality_rules, simhash, token_lengths, toxicity, url_lists
+from strataflow.llm import decontamination, html_text, interpolation, license_scan, packing, periodic_runs, prefix_trie, quality_rules, simhash, token_lengths, toxicity, url_lists, warc
 from strataflow.llm.common import remainder, stored, table
+from strataflow.session import scratch_path
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +87,13 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(prefix_trie.rebuilt(turns))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back."""
+    path = scratch_path(spark, "warc")
+    warc.write_pages(table(spark, sf_dir, "pages"), path)
+    return warc.archived_pages(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_license_scan": op2_license_scan,
@@ -99,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_lengths": op10_token_lengths,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_warc": op13_warc,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
@@ -106,4 +115,5 @@ ORACLE: dict[str, str] = {
     "op3_quality_rules": quality_rules.oracle_sql(),
     "op5_url_lists": url_lists.ORACLE,
     "op12_prefix_trie": prefix_trie.ORACLE,
+    "op13_warc": warc.ORACLE,
 }
