@@ -5,7 +5,8 @@ bucket of the context's frequency ``c(h)`` (powers of two; an unseen context has
 learned by expectation-maximisation: counts of nine tenths of the training documents are the estimates, the tokens of
 the remaining tenth are the held-out counts.  Scores then use the counts of all training documents.
 
-Counts never meet in one place.  The documents are packed into blocks of text; a block sends each of its distinct
+Counts never meet in one place.  The documents are packed into blocks of text, held-out ones into blocks of their own,
+so that learning the weights opens no others; a block sends each of its distinct
 n-grams once, with its counts, to the reducer that owns the n-gram's hash range, and gets back the totals in the same
 order.  So a frequent word costs a reducer one row per block, the counts grow with the corpus, and no text is joined
 with a table of n-grams.  N-grams are told apart by 63 bits of hash.
@@ -22,6 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -30,6 +32,7 @@ from pyspark.sql import functions as F
 from strataflow.llm.common import remainder, sized, stored, words_of
 
 BLOCK_BYTES = 8_000_000
+BLOCKS_A_RANGE = 12
 BUCKETS = 24  # of context frequencies: unseen, 1, 2-3, 4-7, ...
 ADD = 0.1  # of the base score
 BOUNDS = (b"end", b"begin")  # of a document; hashed with a seed of their own
@@ -98,36 +101,42 @@ def range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
 
 
-def block_frame(docs: DataFrame, modulus: int) -> DataFrame:
-    """Blocks of documents: block, and the packed ids, folds and texts."""
+def block_frame(docs: DataFrame, modulus: int, tune_fold: int) -> DataFrame:
+    """Blocks of documents: block, and the packed ids, folds and texts.  Those of the fold ``tune_fold`` are odd."""
     from pyspark import TaskContext
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        for part in joined(batches, BLOCK_BYTES):
+        for odd, part in joined(batches, BLOCK_BYTES, tune_fold):
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, part.schema) as writer:
                 writer.write_table(part)
             blob = zstandard.ZstdCompressor(level=3).compress(sink.getvalue().to_pybytes())
-            yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([blob], pa.binary())], ["block", "packed"])
-            number += 1
+            own = [pa.array([number + odd]), pa.array([blob], pa.binary())]
+            yield pa.RecordBatch.from_arrays(own, ["block", "packed"])
+            number += 2
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), remainder(F.col("doc_id"), modulus).alias("fold"), "text")
     return stored(chosen.mapInArrow(run, "block long, packed binary"), "lm-blocks")
 
 
-def joined(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
-    """Batches put together until they hold about ``size`` bytes."""
-    held: list[pa.RecordBatch] = []
-    total = 0
+def joined(batches: Iterator[pa.RecordBatch], size: int, apart: int) -> Iterator[tuple[int, pa.Table]]:
+    """Batches put together until they hold about ``size`` bytes; with 1, those of the fold ``apart``, with 0 the others."""
+    held: tuple[list[pa.RecordBatch], list[pa.RecordBatch]] = ([], [])
+    total = [0, 0]
     for batch in sized(batches, "text", size):
-        held.append(batch)
-        total += batch.nbytes
-        if total >= size:
-            yield pa.Table.from_batches(held)
-            held, total = [], 0
-    if held:
-        yield pa.Table.from_batches(held)
+        chosen = pc.equal(batch.column("fold"), apart)
+        for odd, part in enumerate((batch.filter(pc.invert(chosen)), batch.filter(chosen))):
+            if part.num_rows:
+                held[odd].append(part)
+                total[odd] += part.nbytes
+            if total[odd] >= size:
+                yield odd, pa.Table.from_batches(held[odd])
+                held[odd].clear()
+                total[odd] = 0
+    for odd in (0, 1):
+        if held[odd]:
+            yield odd, pa.Table.from_batches(held[odd])
 
 
 def opened(blob: bytes) -> tuple[list, np.ndarray, list]:
@@ -255,7 +264,8 @@ def tuning_table(blocks: DataFrame, replies: DataFrame, sizes: Sizes, tune_fold:
         return pd.concat(found)[columns] if found else pd.DataFrame(columns=columns)
 
     schema = "bucket long, q2 long, q1 long, n long, s2 double, s1 double"
-    each = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(run, schema)
+    odd = "block % 2 = 1"
+    each = blocks.where(odd).groupBy("block").cogroup(replies.where(odd).groupBy("block")).applyInPandas(run, schema)
     return each.groupBy("bucket", "q2", "q1").agg(*[F.sum(c).alias(c) for c in ("n", "s2", "s1")])
 
 
@@ -317,8 +327,9 @@ def interpolated_scores(docs: DataFrame, modulus: int = 10, test_fold: int = 0,
     end only.  Repeated rows count and score each.  Without training rows every token has probability 1.
     """
     spark = docs.sparkSession
-    ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = block_frame(docs, modulus)
+    blocks = block_frame(docs, modulus, tune_fold)
+    # A range gets the keys of BLOCKS_A_RANGE blocks at most, however many there are.
+    ranges = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-blocks.count() // BLOCKS_A_RANGE))
     given = stored(answers(requests(blocks, ranges, test_fold, tune_fold)), "lm-counts")
     parts = [np.frombuffer(r.kept, "<u8") for r in given.where("block = -1").select("kept").toLocalIterator()]
     sizes = Sizes(*[int(x) for x in np.sum(parts, axis=0)]) if parts else Sizes(0, 0, 0, 0)
