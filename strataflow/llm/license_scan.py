@@ -167,7 +167,7 @@ def oracle_sql(templates: Mapping[str, str] = TEMPLATES, containment: float = CO
     h AS (SELECT rid, doc_id, {run.format('words')} AS h FROM d),
     hit AS (SELECT * FROM h WHERE list_has_any(h, (SELECT flatten(list(shingles)) FROM t))),
     w AS (SELECT doc_id, class, start, list_distinct(h[start + 1:start + class + stride - 4]) AS part
-          FROM (SELECT doc_id, h, class, stride, unnest(range(0, greatest(len(h) - class, 0) + 1, stride)) AS start
+          FROM (SELECT doc_id, h, class, stride, unnest(range(0, len(h), stride)) AS start
                 FROM hit, (VALUES {grid}) AS g(class, stride))),
     p AS (SELECT doc_id, license, start, len(list_intersect(part, shingles)) / len(shingles) AS containment
           FROM w JOIN t USING (class))

@@ -13,6 +13,7 @@ Remainders wait in a pool of bounded size, refilled while the task reads, so mem
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -33,6 +34,9 @@ PIECES = (
     "doc_id long, start long, length long, ids binary, loss_tokens long, doc_tokens long, sequence_id long, offset long"
 )
 VOCABULARY = "byte_bpe_50k.tiktoken"  # the ranks of byte_bpe_50k.json: the same ids, four times as fast
+TOKENIZER = "byte_bpe_50k.json"
+WHITE_RUN = 100_000
+LONG_WHITE = re.compile(rf"\s{{{WHITE_RUN}}}")
 SPECIAL = {"<|endoftext|>": 50256}
 
 
@@ -43,8 +47,12 @@ class Limits:
     loss_tokens: int = 1024
 
 
-def encoder(vocabulary: str | None = None):
-    """A function from text to ids; ``vocabulary`` is the path of a rank file, by default the public one."""
+def encoder(vocabulary: str | None = None, exact: str | None = None):
+    """A function from text to ids; ``vocabulary`` is the path of a rank file, by default the public one.
+
+    The pattern of the rank file cannot split very long white space.  Such a text is encoded with the tokenizer file
+    ``exact``, by default that of the same vocabulary, which is opened when the first one comes.
+    """
     import tiktoken
 
     with open(vocabulary or public_tokenizers.path(VOCABULARY), "rb") as lines:
@@ -52,7 +60,18 @@ def encoder(vocabulary: str | None = None):
     known = tiktoken.Encoding(
         "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL
     )
-    return lambda text: known.encode(text, allowed_special="all")
+    slow = []
+
+    def encode(text: str) -> list[int]:
+        if len(text) < WHITE_RUN or not LONG_WHITE.search(text):
+            return known.encode(text, allowed_special="all")
+        if not slow:
+            from tokenizers import Tokenizer
+
+            slow.append(Tokenizer.from_file(exact or public_tokenizers.path(TOKENIZER)))
+        return slow[0].encode(text, add_special_tokens=False).ids
+
+    return encode
 
 
 @dataclass

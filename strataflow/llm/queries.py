@@ -73,7 +73,8 @@ def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals of the encoded documents for every context limit at which they change."""
-    return token_lengths.with_suffix_sums(token_lengths.length_histogram(table(spark, sf_dir, "documents")))
+    lengths = stored(token_lengths.length_histogram(table(spark, sf_dir, "documents")), "lengths")
+    return token_lengths.with_suffix_sums(lengths)
 
 
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:

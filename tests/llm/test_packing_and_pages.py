@@ -35,6 +35,19 @@ def test_ids_equal_the_tokenizers_file(spark, tokenizer):
         assert encode(t or "") == plain_ids(tokenizer, t)
 
 
+@pytest.mark.parametrize("white", [" ", "\n", "\t", "\u3000", " \n\t", "\r\n "])
+def test_long_white_space_is_encoded(spark, tokenizer, documents, white):
+    n = 2_000_000 if len(white) == 1 and white != "\u3000" else 300_000
+    texts = [f"a b{white * n}c", white * n, f"x{white * 50_000}"]
+    pieces = packing.packed(documents(*enumerate(texts))).collect()
+    for i, text in enumerate(texts):
+        parts = sorted((p for p in pieces if p.doc_id == i), key=lambda p: p.start)
+        ids = np.concatenate([np.frombuffer(p.ids, "<u4") for p in parts])
+        assert ids.tolist() == [*plain_ids(tokenizer, text), 0]
+    counted = token_lengths.length_histogram(documents(*enumerate(texts))).agg({"n_docs": "sum"}).first()[0]
+    assert counted == 3
+
+
 def check_sequences(pieces, limits):
     by = {}
     for p in sorted(pieces, key=lambda p: p.offset):
