@@ -184,7 +184,46 @@ def test_pages_without_marks_and_edge_pages(spark):
 )
 def test_open_heads_and_closed_drawings_swallow_nothing(before):
     text = "word " * 49 + "word"
-    assert html_text.Page(f"{before}<p>{text}</p>").main_text({}) == text
+    assert html_text.Page(f"{before}<p>{text}</p>").main_text() == text
+
+
+LONG = "words of the article that go on for a while and say something " * 3
+
+
+@pytest.mark.parametrize(
+    ("inner", "text"),
+    [
+        ("alpha<br>beta gamma", "alpha beta gamma"),
+        ("alpha<br/>beta<BR />\n gamma", "alpha beta gamma"),
+        ("alpha<img src=x>beta", "alpha beta"),
+        ("alpha<wbr>beta <b>ga</b>mma", "alphabeta gamma"),
+        ("<br>alpha<br>", "alpha"),
+        ("alpha<hr>beta comes after a line", "alpha\nbeta comes after a line"),
+    ],
+)
+def test_what_stands_between_words(inner, text):
+    found = html_text.Page(f"<article><p>{LONG}</p><p>{inner}</p></article>").main_text()
+    assert found == f"{LONG.strip()}\n{text}"
+
+
+@pytest.mark.parametrize("name", ["share-price", "notice-board", "menu-of-the-day", "search_history", "side-effects"])
+def test_a_word_in_a_class_name_drops_no_paragraph(name):
+    for mark in ("class", "id"):
+        page = f"<body><nav><a>x</a></nav><article><p>{LONG}</p><div {mark}='{name}'><p>It rose by a third.</p></div><p>{LONG}</p></article>"
+        assert html_text.Page(page).main_text() == f"{LONG.strip()}\nIt rose by a third.\n{LONG.strip()}"
+
+
+def test_side_matter_is_learned_from_labelled_pages(spark):
+    words = "one two three four five six " * 12
+    page = "<body><div class=zq>{0}</div><article><p>{0}</p><div class='notice'><p>{0}</p></div></article><div class=zq>{0}</div>"
+    pages = spark.createDataFrame([(i, "u", page.format(words)) for i in range(40)], "page_id LONG, url STRING, html STRING")
+    scores = html_text.learned_scores(pages)
+    assert scores["name zq"] <= html_text.SIDE_NAME < 0 < scores["name notice"]
+    text = words.strip()
+    bare = f"<div class=x><p>{words}</p><div class=zq>{words}</div><p class=notice>{words}</p></div>"
+    assert html_text.Page(bare, scores).main_text() == f"{text}\n{text}"
+    assert html_text.Page(bare).main_text() == f"{text}\n{text}"
+    assert html_text.Page(bare, {"name notice": 1.0}).main_text() == f"{text}\n{text}\n{text}"
 
 
 def test_the_run_is_the_best_of_all_runs():
