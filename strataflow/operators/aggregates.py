@@ -7,7 +7,17 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    DecimalType,
+    LongType,
+    MapType,
+    NumericType,
+    StringType,
+    StructType,
+    VariantType,
+)
 
 from strataflow.functions.columns import mean_of, money, safe_divide
 from strataflow.functions.sqltext import quoted, text
@@ -84,23 +94,39 @@ def number_in_text(df: DataFrame, name: str) -> dict[str, str]:
 
 
 def statistic_aggregates(df: DataFrame, name: str, digits: int) -> dict[str, str]:
-    """SQL aggregates of one column; text is also read as numbers, from :func:`number_in_text`."""
+    """SQL aggregates of one column; text is also read as numbers, from :func:`number_in_text`.
+
+    A column whose type has no order has a count only.
+    """
     field, column = df.schema[name].dataType, quoted(name)
     is_number, is_text = isinstance(field, NumericType), isinstance(field, StringType)
     no_number, no_text = "CAST(NULL AS DOUBLE)", "CAST(NULL AS STRING)"
     number = quoted(f"_number_{name}") if is_text else column
     has_number = is_number or is_text
+    in_words = not fits_a_double(field) if is_number else ordered(field)
     return {
         "n": f"count({column})",
         "mean": f"round(avg({number}), {digits})" if has_number else no_number,
         "stddev": f"round(stddev_samp({number}), {digits})" if has_number else no_number,
         "min_num": f"CAST(min({column}) AS DOUBLE)" if is_number else no_number,
         "max_num": f"CAST(max({column}) AS DOUBLE)" if is_number else no_number,
-        "min_text": no_text if is_number else f"CAST(min({column}) AS STRING)",
-        "max_text": no_text if is_number else f"CAST(max({column}) AS STRING)",
+        "min_text": f"CAST(min({column}) AS STRING)" if in_words else no_text,
+        "max_text": f"CAST(max({column}) AS STRING)" if in_words else no_text,
     }
 
 
+def fits_a_double(kind: DataType) -> bool:
+    """Whether a double holds every number of the type exactly; wider ones also have their extremes as text."""
+    return not isinstance(kind, (LongType, DecimalType))
+
+
+def ordered(kind: DataType) -> bool:
+    """Whether the type has an order, and so a least and a greatest value; maps and variants have none."""
+    if isinstance(kind, StructType):
+        return all(ordered(f.dataType) for f in kind.fields)
+    return ordered(kind.elementType) if isinstance(kind, ArrayType) else not isinstance(kind, (MapType, VariantType))
+
+
 def with_columns_sql(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.selectExpr("*", *[f"{e} AS {quoted(name)}" for name, e in columns.items()]) if columns else df
 

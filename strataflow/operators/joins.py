@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, LongType
 
+from strataflow.functions.sqltext import unused
+
 
 def _wider(df: DataFrame, key: str) -> Column:
     """The key in another type with the same equality, so that no earlier shuffle on the key itself can serve."""
@@ -26,9 +28,10 @@ def balanced_join(facts: DataFrame, lookup: DataFrame, key: str, how: str = "lef
     """
     if how in ("left_anti", "left_semi"):
         lookup = lookup.select(key).distinct()
-    left = facts.withColumn("_join_key", _wider(facts, key))
-    right = lookup.withColumn("_join_key", _wider(lookup, key))
+    name = unused("_join_key", facts.columns, lookup.columns)
+    left = facts.withColumn(name, _wider(facts, key))
+    right = lookup.withColumn(name, _wider(lookup, key))
     if how in ("left_anti", "left_semi"):
-        return left.join(right, "_join_key", how).drop("_join_key")
+        return left.join(right, name, how).drop(name)
     columns = [key, *[n for n in facts.columns if n != key], *[n for n in lookup.columns if n != key]]
-    return left.join(right.drop(key), "_join_key", how).select(*columns)
+    return left.join(right.drop(key), name, how).select(*columns)

@@ -294,7 +294,7 @@ def validate_silver(df: DataFrame, dataset: str, digits: int = 4) -> DataFrame:
 
 
 def gold_shape(df: DataFrame, dataset: str, order_by: Sequence[str], shown: Sequence[str], k: int = 5) -> DataFrame:
-    """Row count, column count and ``k`` sample rows of a mart."""
+    """Row count, column count and ``k`` sample rows of a stored mart, which is read for either."""
     check = Check(rows=[_row("rows", "_total", text(PASS)), _row("columns", str(len(df.columns)), text(PASS))])
     cells = [f"coalesce(CAST({quoted(n)} AS STRING), '')" for n in shown]
     line = f"concat_ws('|', {', '.join(cells)})"

@@ -45,6 +45,13 @@ def _nulls_last(names) -> str:
     return ", ".join(f"{n} ASC NULLS LAST" for n in names)
 
 
+def _digest() -> str:
+    def cell(name: str) -> str:
+        return f"TRY_CAST({name} AS DECIMAL(28,6))" if CONTRACT_TYPES[name] == "double" else name
+
+    return f"md5(concat_ws('|', {', '.join(f"coalesce(CAST({cell(n)} AS STRING), '~')" for n in CONTRACT_NAMES)}))"
+
+
 _PAYLOAD = [n for n in CONTRACT_NAMES if n not in ("nusoc", "nucon")]
 _CLIENT_PART = ["sexsoc", "aadhso", "cspsoc", "sitmat", "sitpav1", "nbenf"]
 
@@ -54,7 +61,7 @@ STEPS = {
     "conformed": _conformed("contrat2"),
     "conformed1": _conformed("contrat1"),
     "unique_contracts": f"""SELECT {', '.join(CONTRACT_NAMES)} FROM (
-      SELECT *, row_number() OVER (PARTITION BY nusoc, nucon ORDER BY src, {_nulls_last(_PAYLOAD)}) AS rn FROM (
+      SELECT *, row_number() OVER (PARTITION BY nusoc, nucon ORDER BY src, {_digest()}, {_nulls_last(_PAYLOAD)}) AS rn FROM (
         SELECT 0 AS src, * FROM conformed UNION ALL SELECT 1 AS src, * FROM conformed1)) WHERE rn = 1""",
     "clients1": f"""SELECT nusoc, {', '.join(_CLIENT_PART)} FROM (
       SELECT *, row_number() OVER (PARTITION BY nusoc ORDER BY {_nulls_last(_CLIENT_PART)}) AS rn FROM (
@@ -186,7 +193,7 @@ def _statistics(source: str, types: dict[str, str]) -> dict[str, str]:
         dev = f"round(stddev_samp({number}), 4)" if number else "CAST(NULL AS DOUBLE)"
         ends = (
             f"CAST(min({n}) AS DOUBLE) AS min_num, CAST(max({n}) AS DOUBLE) AS max_num, "
-            "CAST(NULL AS STRING) AS min_text, CAST(NULL AS STRING) AS max_text"
+            + ", ".join(f"CAST({f'{m}({n})' if t == 'bigint' else 'NULL'} AS STRING) AS {m}_text" for m in ("min", "max"))
             if is_number
             else "CAST(NULL AS DOUBLE) AS min_num, CAST(NULL AS DOUBLE) AS max_num, "
             f"CAST(min({n}) AS STRING) AS min_text, CAST(max({n}) AS STRING) AS max_text"

@@ -392,7 +392,9 @@ def dq_bronze_validation(spark, sf_dir):
 
 @_query
 def dq_gold_shape(spark, sf_dir):
-    mart = contract_analysis(spark, sf_dir)
+    path = scratch_path(spark, "mart")
+    layers.write_layer(contract_analysis(spark, sf_dir), path)
+    mart = layers.read_layer(spark, path)
     shown = ["type_vehicule", "total_contracts", "unique_clients"]
     return quality.gold_shape(mart, "contract_analysis", ["type_vehicule"], shown)
 

@@ -10,7 +10,8 @@ from pyspark.sql.types import DoubleType
 
 from strataflow import contracts as c
 from strataflow.functions.columns import try_cast
-from strataflow.operators.dedup import dedup_by_priority, keep_first, total_order, union_sources
+from strataflow.functions.sqltext import unused
+from strataflow.operators.dedup import dedup_by_priority, keep_first, row_digest, total_order, union_sources
 from strataflow.operators.joins import balanced_join
 from strataflow.operators.projections import (
     cast_columns,
@@ -18,6 +19,8 @@ from strataflow.operators.projections import (
     derive_client_age,
     derive_seniority,
     fill_defaults,
+    guarantee_count,
+    vehicle_type,
 )
 
 
@@ -30,8 +33,30 @@ def conform(contracts: DataFrame) -> DataFrame:
 
 
 def unique_contracts(*sources: DataFrame) -> DataFrame:
-    """Conformed union with one row per contract key; the source named first wins."""
-    return dedup_by_priority(c.CONTRACT_KEY, *[conform(s) for s in sources])
+    """Conformed union with one row per contract key; the source named first wins, then the row with the least digest."""
+    digested, name = with_digest(*sources)
+    return dedup_by_priority(c.CONTRACT_KEY, *digested, first=[name]).drop(name)
+
+
+def with_digest(*sources: DataFrame) -> tuple[list[DataFrame], str]:
+    """The conformed sources with a column that stands for the whole row, and its name.
+
+    It tells rows with one key apart where most of their columns are not
+    wanted, so those need not be moved.
+    """
+    name = unused("_digest", *[s.columns for s in sources])
+    conformed = [conform(s) for s in sources]
+    return [s.withColumn(name, row_digest(s)) for s in conformed], name
+
+
+def mart_contracts(*sources: DataFrame, as_of: dt.date) -> DataFrame:
+    """The same contracts with the columns of the contract mart only: the rest is read, but not moved."""
+    digested, name = with_digest(*sources)
+    wanted = [*c.CONTRACT_KEY, "cateco", "prmaco", "asaico"]
+    narrow = [s.select(*wanted, guarantee_count(s.columns).alias("nb_garanties"), name) for s in digested]
+    unique = dedup_by_priority(c.CONTRACT_KEY, *narrow, first=[name])
+    decoded = unique.withColumn("type_vehicule", vehicle_type()).transform(derive_seniority, as_of)
+    return decoded.drop(name, "cateco", "asaico")
 
 
 def clean_contracts(*sources: DataFrame, as_of: dt.date) -> DataFrame:

@@ -1,13 +1,17 @@
 import random
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from strataflow.operators import aggregates
 from strataflow.operators.dedup import dedup_by_priority, union_sources
 from strataflow.operators.joins import balanced_join
-from tests.conftest import plan_of, rows
+from strataflow.plans import gold, silver
+from strataflow.plans.views import view
+from tests.conftest import AS_OF, SF, plan_of, rows
 
 
 def test_union_matches_by_name_and_rejects_missing(spark):
@@ -87,3 +91,25 @@ def test_an_anti_join_moves_each_lookup_key_once(spark):
     facts, lookup = spark.range(10).selectExpr("id AS k"), spark.range(1000).selectExpr("id % 3 AS k", "id AS r")
     joined = balanced_join(facts, lookup, "k", "left_anti")
     assert rows(joined) == [(i,) for i in range(3, 10)] and "HashAggregate" in plan_of(joined)
+
+
+def test_columns_named_like_the_helpers_survive(spark):
+    rows_ = [(1, 10, 20, 30), (1, 11, 21, 31), (2, None, 5, 6)]
+    df = spark.createDataFrame(rows_, "k INT, _rank INT, _source INT, _JOIN_KEY INT")
+    kept = dedup_by_priority(["k"], df)
+    assert kept.columns == df.columns
+    assert rows(kept) == [(1, 10, 20, 30), (2, None, 5, 6)]
+    lookup = spark.createDataFrame([(1, "a")], "k INT, _join_key_ STRING")
+    assert rows(balanced_join(df, lookup, "k", "left_semi")) == rows_[:2]
+    assert rows(balanced_join(df, lookup, "k")) == sorted([(*rows_[0], "a"), (*rows_[1], "a"), (*rows_[2], None)], key=repr)
+
+
+def test_the_contract_mart_moves_only_its_columns(spark):
+    contrat2, contrat1 = view(spark, SF, "contrat2"), view(spark, SF, "contrat1")
+    mart = gold.contract_analysis_from_bronze(contrat2, contrat1, AS_OF)
+    whole = aggregates.contract_mart(silver.clean_contracts(contrat2, contrat1, as_of=AS_OF))
+    assert rows(mart) == rows(whole)
+    # Sorted on the way: the key, the source, the digest and what the mart takes.
+    plan = plan_of(mart)
+    orders = [re.findall(r"(\w+)#\d+L? (?:ASC|DESC)", x) for x in plan.splitlines() if " Sort [" in x and "_source" in x]
+    assert orders and all(len(o) <= 8 for o in orders)
