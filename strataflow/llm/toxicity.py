@@ -323,10 +323,11 @@ def scored(docs: DataFrame, machine: Machine | float) -> DataFrame:
             names = ["doc_id", "score", "predicted", "worst"]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names)
 
+    doc_id = F.col("doc_id").cast("long").alias("doc_id")
     if isinstance(machine, float):
         values = F.lit(machine), (F.lit(machine) >= 0.5).cast("int"), F.lit("")
-        return docs.select("doc_id", *[v.alias(n) for v, n in zip(values, ("score", "predicted", "worst"), strict=True)])
-    return docs.select("doc_id", "text").mapInArrow(score, SCORE_COLUMNS)
+        return docs.select(doc_id, *[v.alias(n) for v, n in zip(values, ("score", "predicted", "worst"), strict=True)])
+    return docs.select(doc_id, "text").mapInArrow(score, SCORE_COLUMNS)
 
 
 def kept_documents(docs: DataFrame, machine: Machine | float) -> DataFrame:

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataflow.functions.sqltext import unused
+
 SLOT = 3_600 * 1_000_000
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)"
 FIRST_PART = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)"
@@ -81,11 +83,12 @@ def captures_on_lists(captures: DataFrame, entries: DataFrame, slot: int = SLOT)
     keyed = each.selectExpr("url", "fetched_at", f"floor(fetched_at / {slot}) AS slot", f"inline({patterns()})")
     listed = listing_intervals(entries, keyed.select("scope", "pattern", "slot").distinct(), slot)
     hits = keyed.join(listed, ["scope", "pattern", "slot"]).where("fetched_at >= since AND fetched_at < until")
-    found = hits.groupBy("url", "fetched_at").agg(F.array_join(F.sort_array(F.collect_set("list")), ",").alias("_lists"))
+    name = unused("_lists", captures.columns)
+    found = hits.groupBy("url", "fetched_at").agg(F.array_join(F.sort_array(F.collect_set("list")), ",").alias(name))
     joined = captures.join(found, ["url", "fetched_at"], "left")
     others = [c for c in captures.columns if c not in ("lists", "blocked")]
     return joined.select(
-        *others, F.coalesce("_lists", F.lit("")).alias("lists"), F.col("_lists").isNotNull().alias("blocked")
+        *others, F.coalesce(name, F.lit("")).alias("lists"), F.col(name).isNotNull().alias("blocked")
     )
 
 

@@ -78,6 +78,8 @@ def test_edge_texts_and_missing_labels(spark, machine, documents):
     assert all(0 <= r.score <= 1 for r in out.collect())
     kept = toxicity.kept_documents(docs, machine)
     assert kept.columns == docs.columns and (None,) not in rows(kept, "doc_id") and kept.count() == 5
+    short = toxicity.scored(docs.withColumn("doc_id", docs.doc_id.cast("int")), machine)
+    assert rows(short) == rows(out)
     none = spark.createDataFrame([], "doc_id LONG, toxic INT")
     assert toxicity.train(docs, none) == 0.0
     assert toxicity.train(docs, spark.createDataFrame([(1, 1)], none.schema)) == 1.0

@@ -275,6 +275,9 @@ def test_lists_as_they_stood(spark):
 
     got = rows(out, "url", "fetched_at", "lists", "blocked")
     assert got == sorted([(u, t, e := expected(u, t), e != "") for u, t, _, _ in captures], key=repr)
+    named = df.selectExpr("*", "1 AS _lists", "2 AS blocked", "3 AS _LISTS_")
+    again = url_lists.captures_on_lists(named, spark.createDataFrame(entries, schema))
+    assert rows(again, "url", "fetched_at", "lists", "blocked") == got and again.where("_lists = 1 AND _LISTS_ = 3").count() == len(captures)
     nothing = spark.createDataFrame([], schema)
     assert url_lists.captures_on_lists(df, nothing).where("blocked").isEmpty()
     assert url_lists.captures_on_lists(df.limit(0), spark.createDataFrame(entries, schema)).count() == 0
