@@ -36,7 +36,7 @@ def build_session(app_name: str = "strataflow", master: str | None = None, **con
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    A session without that setting takes a folder below its warehouse, which is shared as well.
+    A session without that setting takes a folder below its warehouse; on a cluster that must be a shared one too.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
@@ -46,6 +46,22 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application."""
+    return os.path.join(scratch_root(spark), f"scratch-{spark.sparkContext.applicationId}")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(scratch_folder(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete what this application put below the shared folder.
+
+    The program that owns the session calls it at its end: frames that read
+    intermediate copies are of no use afterwards.
+    """
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
