@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.functions.columns import mean_of, safe_divide
+from strataflow.functions.sqltext import text
 
 SUCCESS, FAILURE = "SUCCESS", "FAILURE"
 
@@ -79,6 +80,30 @@ def transform_efficiency(log: DataFrame) -> DataFrame:
     return log.where(F.col("records_in") > 0).select("run_id", "job_name", share.alias("transformation_efficiency"))
 
 
+MAX_DEPTH = 50
+
+
+def lineage_reach(edges: DataFrame, from_layer: str, to_layer: str = "", max_depth: int = MAX_DEPTH) -> DataFrame:
+    """What each dataset of ``from_layer`` feeds, directly or through others, and over how many moves at least.
+
+    One recursive query over the distinct edges.  A path never enters a dataset twice, so circles end; a path longer
+    than ``max_depth`` moves is an error and not cut.  With ``to_layer`` only datasets of that layer are listed.  Lineage
+    graphs are small (one node per dataset); their edges come from the log aggregated.
+    """
+    distinct = edges.where("source IS NOT NULL AND target IS NOT NULL").select("source", "target").distinct()
+    query = f"""
+    WITH RECURSIVE step AS (SELECT source, target FROM {{edges}}),
+    walk (origin, reached, depth, path) MAX RECURSION LEVEL {max_depth} AS (
+        SELECT source, target, 1, array(source, target) FROM step WHERE startswith(source, {text(from_layer + '/')})
+        UNION ALL
+        SELECT w.origin, s.target, w.depth + 1, array_append(w.path, s.target)
+        FROM walk w JOIN step s ON s.source = w.reached WHERE NOT array_contains(w.path, s.target)
+    )
+    SELECT origin AS source, reached AS target, min(depth) AS depth FROM walk
+    WHERE startswith(reached, {text(to_layer)}) AND origin <> reached GROUP BY origin, reached"""
+    return edges.sparkSession.sql(query, edges=distinct)
+
+
 def lineage_edges(log: DataFrame) -> DataFrame:
     """Moves and rows per source and target."""
     return log.groupBy("source", "target").agg(

@@ -1,31 +1,36 @@
 """One run for a date: bronze, silver, then both gold tables.
 
-    python -m strataflow.plans.daily --landing DIR --base DIR [--execution-date YYYY-MM-DD]
+    python -m strataflow.plans.daily --landing DIR --base DIR [--execution-date YYYY-MM-DD] [--job NAME] [--resume]
 """
 
 from __future__ import annotations
 
 import argparse
 import datetime as dt
+import os
+import sys
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.contracts import CONTRACT_KEY, SILVER_DATASET
+from strataflow.contracts import BRONZE_DATASETS, CONTRACT_KEY, SILVER_DATASET
 from strataflow.operators import quality
 from strataflow.operators.calendar import add_gold_columns, add_transform_columns
 from strataflow.operators.dedup import union_sources
 from strataflow.plans.bronze import ingest_bronze, read_bronze
 from strataflow.plans.gold import client_profile, contract_analysis
+from strataflow.plans.manifest import Manifest, combined, fingerprint
 from strataflow.plans.silver import silver_contracts
 from strataflow.session import build_session
 from strataflow.sources.layers import (
     WriteAudit,
+    audited_input,
     audited_write,
+    error_class,
     layer_path,
     read_day,
     read_layer,
@@ -35,7 +40,7 @@ from strataflow.sources.layers import (
 
 RUN_LOG = (
     "run_date DATE, run_id STRING, event_ts TIMESTAMP, job_name STRING, status STRING, error STRING, "
-    "duration_seconds DECIMAL(12,2), records_in LONG, records_out LONG"
+    "error_class STRING, duration_seconds DECIMAL(12,2), records_in LONG, records_out LONG"
 )
 WRITE_LOG = "run_date DATE, run_id STRING, layer STRING, dataset STRING, n_rows LONG, seconds DOUBLE, status STRING"
 LINEAGE_LOG = "run_date DATE, run_id STRING, source STRING, target STRING, n_rows LONG"
@@ -70,17 +75,27 @@ def read_silver(spark: SparkSession, base: str, day: dt.date | None = None) -> D
     return read_day(spark, path, day, SILVER_PARTS).drop(*SILVER_PARTS, "transform_timestamp", "data_quality_score")
 
 
+# Each mart, and the number of its files where it has few rows.
+GOLD_MARTS: dict[str, tuple[Callable[[DataFrame], DataFrame], int | None]] = {
+    "client_profile_analysis": (client_profile, None),
+    "contract_analysis": (contract_analysis, 1),
+}
+
+
 def run_gold(
-    spark: SparkSession, base: str, as_of: dt.date, by_day: bool = False, log: list[WriteAudit] | None = None
+    spark: SparkSession,
+    base: str,
+    as_of: dt.date,
+    by_day: bool = False,
+    log: list[WriteAudit] | None = None,
+    marts: Sequence[str] = tuple(GOLD_MARTS),
 ) -> list[WriteAudit]:
     """Each mart reads only its own columns of silver, so silver is not cached.  With ``by_day`` each day keeps its marts."""
     silver = read_silver(spark, base, as_of if by_day else None)
-    marts = [
-        ("client_profile_analysis", client_profile(silver), None),
-        ("contract_analysis", contract_analysis(silver), 1),
-    ]
     audits = []
-    for name, mart, files in marts:
+    for name in marts:
+        plan, files = GOLD_MARTS[name]
+        mart = plan(silver)
         parts = GOLD_PARTS if by_day else []
         frame = add_gold_columns(mart, as_of) if by_day else mart
         path = layer_path(base, "gold", name)
@@ -107,16 +122,16 @@ class RunJournal:
         """Runs ``work``, which adds an audit to the list it is given for each write as it ends, well or not."""
         at, started = dt.datetime.now(dt.timezone.utc), time.monotonic()
         audits: list[WriteAudit] = []
-        status, error = "SUCCESS", None
+        status, error, kind = "SUCCESS", None, None
         try:
             work(audits)
         except Exception as failure:
-            status, error = "FAILURE", type(failure).__name__
+            status, error, kind = "FAILURE", type(failure).__name__, error_class(failure)
             raise
         finally:
             seconds = Decimal(str(round(time.monotonic() - started, 2)))
             head = (self.as_of, self.run_id)
-            self.runs.append((*head, at, name, status, error, seconds, rows_in, sum(a.rows for a in audits)))
+            self.runs.append((*head, at, name, status, error, kind, seconds, rows_in, sum(a.rows for a in audits)))
             self.writes += [(*head, a.layer, a.dataset, a.rows, a.seconds, a.status) for a in audits]
             for a in (a for a in audits if a.status == "SUCCESS"):
                 # A landing file feeds the bronze dataset of its own name only.
@@ -157,31 +172,64 @@ def log_state(spark: SparkSession, base: str, as_of: dt.date, run_id: str, by_da
         log.write.mode("append").partitionBy("run_date").parquet(layer_path(base, "logs", name))
 
 
+JOBS = ("bronze_ingest", "silver_transform", "gold_transform")
+
+
 def run_day(
-    spark: SparkSession, landing: str, base: str, as_of: dt.date, by_day: bool = False, **scan
+    spark: SparkSession,
+    landing: str,
+    base: str,
+    as_of: dt.date,
+    by_day: bool = False,
+    resume: bool = False,
+    jobs: Sequence[str] = JOBS,
+    **scan,
 ) -> list[WriteAudit]:
-    """All three layers in order; the first failure ends the run, and is in the log like the jobs before it.
+    """The layers in order; the first failure ends the run, and is in the log like the jobs before it.
 
-    With ``by_day`` all layers keep earlier days beside the one loaded.
+    With ``by_day`` all layers keep earlier days beside the one loaded.  With ``resume`` writes that an earlier run of
+    the date has finished from the same landing files are left out; their audits say SKIPPED.  ``jobs`` names the
+    layers to run; one that is run alone works on what the layer below holds.
     """
+    if unknown := set(jobs) - set(JOBS):
+        raise ValueError(f"no such job: {sorted(unknown)}; there are {list(JOBS)}")
     journal = RunJournal(as_of)
-    names = ["Contrat2", "Contrat1", "Client"]
+    manifest = Manifest(spark, base, as_of, by_day, journal.run_id, resume)
+    names = [dataset for dataset, _, _ in BRONZE_DATASETS]
     day = as_of if by_day else None
     landed, stored = [f"landing/{n}.csv" for n in names], [f"bronze/{n}" for n in names]
+    # What each layer is made of; without the layers below it in this run, of something that no other run can know.
+    inputs = {"bronze": journal.run_id}
+    done: dict[str, list[WriteAudit]] = {}
+
+    def bronze(log: list[WriteAudit]) -> None:
+        seen = []
+        for spec in BRONZE_DATASETS:
+            with audited_input("bronze", spec[0], log):
+                seen.append(fingerprint(spark, f"{landing.rstrip('/')}/{spec[1]}"))
+            manifest.step(
+                log, "bronze", spec[0], combined(seen[-1], sorted(scan.items())),
+                lambda spec=spec: ingest_bronze(spark, landing, base, [spec], run_day=day, log=log, **scan),
+            )
+        inputs["bronze"] = combined(*seen, sorted(scan.items()))
+
+    def silver(log: list[WriteAudit]) -> None:
+        made_of = combined(inputs["bronze"], as_of)
+        manifest.step(log, "silver", SILVER_DATASET, made_of, lambda: run_silver(spark, base, as_of, by_day, log))
+
+    def gold(log: list[WriteAudit]) -> None:
+        # Gold follows silver, which follows bronze: what silver was made of stands for silver.
+        made_of = combined(inputs["bronze"] if "silver_transform" in done else journal.run_id, as_of)
+        for mart in GOLD_MARTS:
+            manifest.step(log, "gold", mart, made_of, lambda mart=mart: run_gold(spark, base, as_of, by_day, log, [mart]))
+
+    sources = {"bronze_ingest": landed, "silver_transform": stored, "gold_transform": [f"silver/{SILVER_DATASET}"]}
+    work = {"bronze_ingest": bronze, "silver_transform": silver, "gold_transform": gold}
     try:
-        bronze = journal.job(
-            "bronze_ingest", landed, None, lambda log: ingest_bronze(spark, landing, base, run_day=day, log=log, **scan)
-        )
-        good = [a for a in bronze if a.layer == "bronze"]
-        silver = journal.job(
-            "silver_transform", stored, sum(a.rows for a in good), lambda log: run_silver(spark, base, as_of, by_day, log)
-        )
-        gold = journal.job(
-            "gold_transform",
-            [f"silver/{SILVER_DATASET}"],
-            silver[0].rows,
-            lambda log: run_gold(spark, base, as_of, by_day, log),
-        )
+        rows_in = None
+        for job in (j for j in JOBS if j in jobs):
+            done[job] = journal.job(job, sources[job], rows_in, work[job])
+            rows_in = sum(a.rows for a in done[job] if a.layer != "rejects")
     except Exception as failure:
         try:
             journal.save(spark, base)
@@ -189,22 +237,67 @@ def run_day(
             failure.add_note(f"the logs of this run were not saved: {second}")
         raise
     journal.save(spark, base)
-    log_state(spark, base, as_of, journal.run_id, by_day)
-    return bronze + silver + gold
+    if "silver_transform" in done:
+        log_state(spark, base, as_of, journal.run_id, by_day)
+    return [a for audits in done.values() for a in audits]
+
+
+def run_with_retries(
+    spark: SparkSession,
+    *args,
+    retries: int = 1,
+    wait: dt.timedelta = dt.timedelta(hours=1),
+    resume: bool = False,
+    **kwargs,
+) -> list[WriteAudit]:
+    """:func:`run_day`, tried again after ``wait`` when it fails; each further attempt resumes the one before."""
+    for attempt in range(retries + 1):
+        try:
+            return run_day(spark, *args, resume=resume or attempt > 0, **kwargs)
+        except Exception:
+            if attempt == retries:
+                raise
+            time.sleep(wait.total_seconds())
+    raise ValueError("retries must not be negative")
+
+
+def execution_date(given: str | None) -> dt.date:
+    """The date given, else that of the environment variable EXECUTION_DATE, else today; anything but a date is an error."""
+    value = given or os.environ.get("EXECUTION_DATE")
+    if not value:
+        return dt.date.today()
+    try:
+        return dt.date.fromisoformat(value)
+    except ValueError as error:
+        raise ValueError(f"the execution date must be YYYY-MM-DD, not {value!r}") from error
 
 
 def main(argv: list[str] | None = None) -> int:
+    """0 after a whole run; 1 after a failure, whose class and message go to the error output."""
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     parser.add_argument("--landing", required=True, help="folder with the delimited files")
     parser.add_argument("--base", required=True, help="folder of the bronze, silver, gold and logs layers")
-    parser.add_argument("--execution-date", type=dt.date.fromisoformat, default=dt.date.today())
+    parser.add_argument("--execution-date", help="YYYY-MM-DD; by default EXECUTION_DATE of the environment, then today")
     parser.add_argument("--by-day", action="store_true", help="replace only this date in each layer")
+    parser.add_argument("--job", choices=JOBS, action="append", help="run this layer only; may be given again")
+    parser.add_argument("--resume", action="store_true", help="leave out what an earlier run of the date has finished")
+    parser.add_argument("--retries", type=int, default=0, help="further attempts after a failure")
+    parser.add_argument("--retry-minutes", type=float, default=60.0, help="how long to wait before one")
     parser.add_argument("--file-size-mb", type=int, default=128, help="size of the files to aim at")
     args = parser.parse_args(argv)
-    spark = build_session("strataflow-daily")
-    set_target_file_size(spark, args.file_size_mb)
-    for audit in run_day(spark, args.landing, args.base, args.execution_date, args.by_day):
-        print(f"{audit.layer}/{audit.dataset}: {audit.rows} rows in {audit.seconds:.1f} s")
+    try:
+        as_of = execution_date(args.execution_date)
+        spark = build_session("strataflow-daily")
+        set_target_file_size(spark, args.file_size_mb)
+        audits = run_with_retries(
+            spark, args.landing, args.base, as_of, args.by_day, resume=args.resume, jobs=args.job or JOBS,
+            retries=args.retries, wait=dt.timedelta(minutes=args.retry_minutes),
+        )
+    except Exception as failure:  # noqa: BLE001  the exit code and one line tell it
+        print(f"{error_class(failure)}: {type(failure).__name__}: {str(failure).splitlines()[0]}", file=sys.stderr)
+        return 1
+    for audit in audits:
+        print(f"{audit.layer}/{audit.dataset}: {audit.rows} rows in {audit.seconds:.1f} s ({audit.status})")
     return 0
 
 

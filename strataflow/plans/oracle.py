@@ -202,6 +202,32 @@ def _statistics(source: str, types: dict[str, str]) -> dict[str, str]:
     return out
 
 
+def _changes() -> str:
+    """States of the contracts over three days, each day's snapshot against the one before."""
+
+    def snapshot(day: int, sources: list[str]) -> str:
+        rows = " UNION ALL ".join(f"SELECT {i} AS src, * FROM {s}" for i, s in enumerate(sources))
+        return f"""SELECT {day} AS d, nusoc, nucon, prmaco, etatco, usagco1, h FROM (
+          SELECT *, {_digest()} AS h,
+            row_number() OVER (PARTITION BY nusoc, nucon ORDER BY src, {_digest()}, {_nulls_last(_PAYLOAD)}) AS rn
+          FROM ({rows})) WHERE rn = 1"""
+
+    days = " UNION ALL ".join(
+        snapshot(i, s) for i, s in enumerate([["conformed1"], ["conformed", "conformed1"], ["conformed"]])
+    )
+    return _with(
+        ["conformed", "conformed1"],
+        f"""SELECT nusoc, nucon, CASE WHEN is_new THEN 'inserted' ELSE 'changed' END AS change,
+      CAST(DATE '2026-03-08' + CAST(d AS INT) AS DATE) AS valid_from,
+      CASE WHEN until < 3 THEN CAST(DATE '2026-03-08' + CAST(until AS INT) AS DATE) END AS valid_to, prmaco, etatco, usagco1
+      FROM (SELECT *, coalesce(lead(d) OVER (PARTITION BY nusoc, nucon ORDER BY d), last_day + 1) AS until
+        FROM (SELECT *, lag(d) OVER k IS NULL OR lag(d) OVER k < d - 1 AS is_new, lag(h) OVER k AS was,
+                max(d) OVER (PARTITION BY nusoc, nucon) AS last_day
+              FROM ({days}) WINDOW k AS (PARTITION BY nusoc, nucon ORDER BY d))
+        WHERE is_new OR was <> h)""",
+    )
+
+
 LINEITEM_TYPES = {
     "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
     "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double",
@@ -390,6 +416,37 @@ ORACLE: dict[str, str] = {
   WHERE NOT EXISTS (SELECT 1 FROM client k WHERE k.nusoc = c.nusoc)""",
     ),
     "union_contracts": _with(["contrat2", "contrat1"], "SELECT * FROM contrat2 UNION ALL SELECT * FROM contrat1"),
+    "versioned_overwrite": """SELECT 'before' AS began, o_orderkey, o_orderstatus, o_totalprice FROM orders
+      UNION ALL SELECT 'after', o_orderkey, o_orderstatus, o_totalprice + 1 FROM orders WHERE o_orderkey % 3 <> 0""",
+    "daily_run": _with(
+        ["contrat2", "contrat1", "client", "silver", "profile", "mart"],
+        " UNION ALL ".join(
+            f"SELECT '{layer}' AS layer, '{dataset}' AS dataset, (SELECT count(*) FROM {rows}) AS n_rows, "
+            f"CAST({tried} AS BIGINT) AS attempts, CAST({tried} - 1 AS BIGINT) AS failures, CAST({skipped} AS BIGINT) AS skipped"
+            for layer, dataset, rows, tried, skipped in [
+                ("bronze", "Contrat2", "contrat2", 1, 1), ("bronze", "Contrat1", "contrat1", 1, 1),
+                ("bronze", "Client", "client", 2, 0), ("silver", "Client_contrat_silver", "silver", 1, 0),
+                ("gold", "client_profile_analysis", "profile", 1, 0), ("gold", "contract_analysis", "mart", 1, 0),
+            ]
+        ),
+    ),
+    "silver_changes": _changes(),
+    "lineage_reach": _with(
+        ["lineage_moves"],
+        """SELECT source, target, min(depth) AS depth FROM (
+      WITH RECURSIVE step AS (SELECT DISTINCT source, target FROM lineage_moves),
+      walk(source, target, depth, path) AS (
+        SELECT source, target, 1, [source, target] FROM step WHERE source LIKE 'landing/%'
+        UNION ALL
+        SELECT w.source, s.target, w.depth + 1, list_append(w.path, s.target) FROM walk w JOIN step s ON s.source = w.target
+        WHERE NOT list_contains(w.path, s.target))
+      SELECT * FROM walk) GROUP BY source, target""",
+    ),
+    "bucketed_contract_client_join": _with(
+        ["unique_contracts", "clients1"],
+        f"""SELECT u.nusoc, u.nucon, u.prmaco, {', '.join('k.' + n for n in _CLIENT_PART)}
+      FROM unique_contracts u LEFT JOIN clients1 k ON u.nusoc = k.nusoc""",
+    ),
     "dedup_contracts": _with(["unique_contracts"], "SELECT * FROM unique_contracts"),
     "dedup_clients": _with(
         ["client"],

@@ -9,19 +9,20 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow import contracts as c
 from strataflow.functions.columns import as_percentage, calendar_date, money, safe_divide
-from strataflow.operators import aggregates, calendar, quality, runlog
+from strataflow.operators import aggregates, calendar, history, quality, runlog
 from strataflow.operators import projections as p
 from strataflow.operators.dedup import keep_first, total_order, union_sources
 from strataflow.operators.joins import balanced_join
-from strataflow.plans import bronze, daily, gate, gold, silver
+from strataflow.plans import bronze, daily, gate, gold, manifest, silver
 from strataflow.plans.views import EXTREMES, NUMBERS_IN_TEXT, table, view, view_over
 from strataflow.session import scratch_path
-from strataflow.sources import catalog, delimited, layers
+from strataflow.sources import bucketed, catalog, delimited, layers, versions
 from strataflow.streaming import kpis
 
 AS_OF = dt.date(2026, 3, 8)
@@ -114,6 +115,21 @@ def write_audit(spark, sf_dir):
     return layers.audit_frame(spark, audits).drop("seconds")
 
 
+@_query
+def versioned_overwrite(spark, sf_dir):
+    """A reader that began before an overwrite and one that began after it, both read after it."""
+    root, database = scratch_path(spark, "versions"), "strataflow_versions"
+    name = "orders_" + root.rsplit("-", 1)[-1]
+    catalog.create_database(spark, database, "versioned tables", scratch_path(spark, "database"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    versions.publish_version(spark, orders, database, name, root)
+    before = spark.table(f"{database}.{name}")
+    restated = orders.where("o_orderkey % 3 <> 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    versions.publish_version(spark, restated, database, name, root)
+    after = spark.table(f"{database}.{name}")
+    return before.withColumn("began", F.lit("before")).unionByName(after.withColumn("began", F.lit("after")))
+
+
 @_query
 def rebalance_layout(spark, sf_dir):
     path = scratch_path(spark, "lineitem")
@@ -539,6 +555,12 @@ def lineage_edges(spark, sf_dir):
     return runlog.lineage_edges(view(spark, sf_dir, "lineage_log"))
 
 
+@_query
+def lineage_reach(spark, sf_dir):
+    """What every landing file feeds, down to the marts, circles included."""
+    return runlog.lineage_reach(view(spark, sf_dir, "lineage_moves"), "landing")
+
+
 @_query
 def data_volume(spark, sf_dir):
     return layers.stored_bytes(spark, sf_dir, "raw")
@@ -603,6 +625,60 @@ def silver_by_day(spark, sf_dir):
     )
 
 
+@_query
+def daily_run(spark, sf_dir):
+    """A run that fails for want of one landing file, and its resumption: rows and attempts of every dataset."""
+    base, landing = scratch_path(spark, "lake"), scratch_path(spark, "landing")
+    late = c.BRONZE_DATASETS[-1][1]
+    for (_, file, _), name in zip(c.BRONZE_DATASETS, ["contrat2", "contrat1", "client"], strict=True):
+        if file != late:
+            delimited.write_delimited(view(spark, sf_dir, name), f"{landing}/{file}")
+    try:
+        daily.run_day(spark, landing, base, AS_OF)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    delimited.write_delimited(view(spark, sf_dir, "client"), f"{landing}/{late}")
+    daily.run_day(spark, landing, base, AS_OF, resume=True)
+    writes = layers.read_layer(spark, layers.layer_path(base, "logs", "write_log"))
+    tried = F.col("status") != manifest.SKIPPED
+    return writes.groupBy("layer", "dataset").agg(
+        F.max("n_rows").alias("n_rows"),
+        F.count_if(tried).alias("attempts"),
+        F.count_if(F.col("status") == layers.FAILURE).alias("failures"),
+        F.count_if(~tried).alias("skipped"),
+    )
+
+
+@_query
+def silver_changes(spark, sf_dir):
+    """Three days of contracts, from the older source, both, and the newer one: each state with its validity."""
+    path = scratch_path(spark, "history")
+    newer, older = view(spark, sf_dir, "contrat2"), view(spark, sf_dir, "contrat1")
+    for i, sources in enumerate([[older], [newer, older], [newer]]):
+        snapshot = silver.unique_contracts(*sources)
+        history.record_day(spark, snapshot, path, c.CONTRACT_KEY, AS_OF + dt.timedelta(days=i))
+    states = history.validity_intervals(layers.read_layer(spark, path), c.CONTRACT_KEY)
+    return states.select(*c.CONTRACT_KEY, "change", "valid_from", "valid_to", "prmaco", "etatco", "usagco1")
+
+
+@_query
+def bucketed_contract_client_join(spark, sf_dir):
+    """Contracts and clients stored by client number, then joined without moving either."""
+    database, name = "strataflow_buckets", scratch_path(spark, "t").rsplit("-", 1)[-1]
+    catalog.create_database(spark, database, "bucketed tables", scratch_path(spark, "database"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    contracts = silver.unique_contracts(view(spark, sf_dir, "contrat2"), view(spark, sf_dir, "contrat1"))
+    clients = silver.unique_clients(view(spark, sf_dir, "client"))
+    for side, frame in (("contracts", contracts), ("clients", clients)):
+        path = scratch_path(spark, side)
+        bucketed.write_bucketed(frame, database, f"{side}_{name}", c.CLIENT_KEY, n, path)
+    joined = bucketed.bucketed_join(
+        spark, f"{database}.contracts_{name}", f"{database}.clients_{name}", c.CLIENT_KEY
+    )
+    return joined.select(*c.CONTRACT_KEY, "prmaco", *c.CLIENT_ATTRIBUTES)
+
+
 @_query
 def silver_contracts(spark, sf_dir):
     return silver.silver_contracts(*[view(spark, sf_dir, n) for n in ("contrat2", "contrat1", "client")], as_of=AS_OF)

@@ -76,6 +76,14 @@ FROM events""",
 SELECT 'bronze/' || event_type AS source, 'silver/job_' || CAST(user_id % 5 AS STRING) AS target,
        event_id % 1000 AS n_rows
 FROM events""",
+    # The moves of a lake: landing files feed bronze, bronze silver and silver gold; some marts feed silver again.
+    "lineage_moves": """
+SELECT CASE event_id % 4 WHEN 0 THEN 'landing/' || event_type || '.csv' WHEN 1 THEN 'bronze/' || event_type
+         WHEN 2 THEN 'silver/job_' || CAST(user_id % 5 AS STRING) ELSE 'gold/mart_' || CAST(user_id % 3 AS STRING) END AS source,
+       CASE event_id % 4 WHEN 0 THEN 'bronze/' || event_type WHEN 1 THEN 'silver/job_' || CAST(user_id % 5 AS STRING)
+         WHEN 2 THEN 'gold/mart_' || CAST(user_id % 3 AS STRING) ELSE 'silver/job_' || CAST(user_id % 2 AS STRING) END AS target,
+       event_id % 1000 AS n_rows
+FROM events WHERE event_id % 4 <> 3 OR user_id % 7 = 0""",
     # Line items with missing flags and missing, repeated keys.
     "quality_input": """
 SELECT l_orderkey, NULLIF(l_linenumber, 7) AS l_linenumber, NULLIF(l_returnflag, 'A') AS l_returnflag,
@@ -89,6 +97,7 @@ TABLE_OF = {
     "client": "customer",
     "run_log": "events",
     "lineage_log": "events",
+    "lineage_moves": "events",
     "quality_input": "lineitem",
 }
 

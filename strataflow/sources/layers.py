@@ -8,9 +8,11 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+FAILURE = "FAILURE"
 DAY_PARTS = ["year", "month", "day"]
 
 
@@ -103,16 +105,41 @@ def audited_write(
 @contextmanager
 def audited(layer: str, dataset: str, log: list[WriteAudit] | None = None) -> Iterator[dict]:
     """Times what happens inside and adds its audit to ``log``: SUCCESS with the rows noted, or FAILURE."""
-    note, started, status = {"rows": 0}, time.monotonic(), "FAILURE"
+    note, started, status = {"rows": 0}, time.monotonic(), FAILURE
     try:
         yield note
         status = "SUCCESS"
+    except Exception as failure:
+        failure.failed_write = f"{layer}/{dataset}"  # for error_class
+        raise
     finally:
         note["seconds"] = time.monotonic() - started
         if log is not None:
             log.append(WriteAudit(layer, dataset, note["rows"], note["seconds"], status))
 
 
+@contextmanager
+def audited_input(layer: str, dataset: str, log: list[WriteAudit]) -> Iterator[None]:
+    """Adds a FAILURE of the dataset to ``log`` when what it is made of cannot be read."""
+    try:
+        yield
+    except Exception:
+        log.append(WriteAudit(layer, dataset, 0, 0.0, FAILURE))
+        raise
+
+
+MISSING_INPUT, WRITE_FAILURE, OTHER_FAILURE = "missing_input", "write_failure", "other_failure"
+
+
+def error_class(failure: BaseException) -> str:
+    """What went wrong: an input that is not there, the write of a dataset (or what it computes), or something else."""
+    if isinstance(failure, FileNotFoundError):
+        return MISSING_INPUT
+    if isinstance(failure, PySparkException) and failure.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
+        return MISSING_INPUT
+    return WRITE_FAILURE if getattr(failure, "failed_write", None) else OTHER_FAILURE
+
+
 def set_target_file_size(spark: SparkSession, megabytes: int = 128) -> None:
     """The partition size :func:`rebalanced` aims at, for the writes of this session.
 
