@@ -14,6 +14,7 @@ import uuid
 from collections.abc import Callable, Sequence
 from decimal import Decimal
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -165,7 +166,13 @@ def log_state(spark: SparkSession, base: str, as_of: dt.date, run_id: str, by_da
     ]
     results = quality.run_checks(silver, SILVER_DATASET, checks)
     results = results.unionByName(quality.key_duplicates(silver, CONTRACT_KEY, SILVER_DATASET))
-    volumes = [stored_bytes(spark, f"{base.rstrip('/')}/{layer}", layer) for layer in ("bronze", "silver", "gold")]
+    volumes = []
+    for layer in ("bronze", "silver", "gold"):
+        try:
+            volumes.append(stored_bytes(spark, f"{base.rstrip('/')}/{layer}", layer))
+        except AnalysisException as error:  # a layer that no job has written yet
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
     for name, rows in (("check_results", results), ("data_volume", union_sources(*volumes))):
         # A row per check, and per dataset.
         log = rows.withColumns(marks).coalesce(1)
