@@ -13,12 +13,14 @@ import time
 import uuid
 from collections.abc import Callable, Sequence
 from decimal import Decimal
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.contracts import BRONZE_DATASETS, CONTRACT_KEY, SILVER_DATASET
+from strataflow.functions.sqltext import quoted
 from strataflow.operators import quality
 from strataflow.operators.calendar import add_gold_columns, add_transform_columns
 from strataflow.operators.dedup import union_sources
@@ -27,6 +29,7 @@ from strataflow.plans.gold import client_profile, contract_analysis
 from strataflow.plans.manifest import Manifest, combined, fingerprint
 from strataflow.plans.silver import silver_contracts
 from strataflow.session import build_session
+from strataflow.sources.catalog import create_database
 from strataflow.sources.layers import (
     WriteAudit,
     audited_input,
@@ -38,6 +41,7 @@ from strataflow.sources.layers import (
     set_target_file_size,
     stored_bytes,
 )
+from strataflow.sources.versions import expire_versions, publish_version
 
 RUN_LOG = (
     "run_date DATE, run_id STRING, event_ts TIMESTAMP, job_name STRING, status STRING, error STRING, "
@@ -51,8 +55,33 @@ SILVER_PARTS = ["transform_year", "transform_month", "transform_day"]
 GOLD_PARTS = ["year", "month", "day"]
 
 
+def replace_dataset(
+    df: DataFrame,
+    base: str,
+    layer: str,
+    dataset: str,
+    parts: Sequence[str] = (),
+    files: int | None = None,
+    log: list[WriteAudit] | None = None,
+    database: str | None = None,
+) -> WriteAudit:
+    """Write a dataset of a layer: the partitions its rows belong to, or the whole of it.
+
+    With ``database`` a whole dataset is a table there, which is swapped: its readers see the old or the new rows.
+    """
+    path = layer_path(base, layer, dataset)
+    if database and not parts:
+        return publish_version(df.sparkSession, df, database, dataset, path, log, layer, files)
+    return audited_write(df, path, layer, dataset, files=files, replace_partitions=parts, log=log)
+
+
 def run_silver(
-    spark: SparkSession, base: str, as_of: dt.date, by_day: bool = False, log: list[WriteAudit] | None = None
+    spark: SparkSession,
+    base: str,
+    as_of: dt.date,
+    by_day: bool = False,
+    log: list[WriteAudit] | None = None,
+    database: str | None = None,
 ) -> list[WriteAudit]:
     """The write follows the last shuffle of the plan, whose partitions adaptive execution has sized already.
 
@@ -64,12 +93,13 @@ def run_silver(
     silver, parts = silver_contracts(*bronze, as_of=as_of), []
     if by_day:
         silver, parts = add_transform_columns(silver, as_of), SILVER_PARTS
-    path = layer_path(base, "silver", SILVER_DATASET)
-    return [audited_write(silver, path, "silver", SILVER_DATASET, replace_partitions=parts, log=log)]
+    return [replace_dataset(silver, base, "silver", SILVER_DATASET, parts, log=log, database=database)]
 
 
-def read_silver(spark: SparkSession, base: str, day: dt.date | None = None) -> DataFrame:
-    """Silver, or the snapshot of a day without its partition columns."""
+def read_silver(spark: SparkSession, base: str, day: dt.date | None = None, database: str | None = None) -> DataFrame:
+    """Silver, or the snapshot of a day without its partition columns; from its table where it is one."""
+    if database and day is None:
+        return spark.table(f"{quoted(database)}.{quoted(SILVER_DATASET)}")
     path = layer_path(base, "silver", SILVER_DATASET)
     if day is None:
         return read_layer(spark, path)
@@ -90,17 +120,17 @@ def run_gold(
     by_day: bool = False,
     log: list[WriteAudit] | None = None,
     marts: Sequence[str] = tuple(GOLD_MARTS),
+    database: str | None = None,
 ) -> list[WriteAudit]:
     """Each mart reads only its own columns of silver, so silver is not cached.  With ``by_day`` each day keeps its marts."""
-    silver = read_silver(spark, base, as_of if by_day else None)
+    silver = read_silver(spark, base, as_of if by_day else None, database)
     audits = []
     for name in marts:
         plan, files = GOLD_MARTS[name]
         mart = plan(silver)
         parts = GOLD_PARTS if by_day else []
         frame = add_gold_columns(mart, as_of) if by_day else mart
-        path = layer_path(base, "gold", name)
-        audits.append(audited_write(frame, path, "gold", name, files=files, replace_partitions=parts, log=log))
+        audits.append(replace_dataset(frame, base, "gold", name, parts, files, log, database))
     return audits
 
 
@@ -151,14 +181,16 @@ class RunJournal:
                 log.write.mode("append").partitionBy("run_date").parquet(layer_path(base, "logs", name))
 
 
-def log_state(spark: SparkSession, base: str, as_of: dt.date, run_id: str, by_day: bool = False) -> None:
+def log_state(
+    spark: SparkSession, base: str, as_of: dt.date, run_id: str, by_day: bool = False, database: str | None = None
+) -> None:
     """Adds the silver checks of this run, and the bytes that each layer now takes, to the logs.
 
     ``check_results`` is the history that ``quality.quality_kpis`` reads; ``data_volume`` has a row per dataset and run.
     """
     at = dt.datetime.now(dt.timezone.utc)
     marks = {"run_date": F.lit(as_of), "run_id": F.lit(run_id), "run_at": F.lit(at)}
-    silver = read_silver(spark, base, as_of if by_day else None)
+    silver = read_silver(spark, base, as_of if by_day else None, database)
     checks = [
         quality.non_empty(),
         quality.critical_nulls(CONTRACT_KEY),
@@ -190,13 +222,16 @@ def run_day(
     by_day: bool = False,
     resume: bool = False,
     jobs: Sequence[str] = JOBS,
+    database: str | None = None,
     **scan,
 ) -> list[WriteAudit]:
     """The layers in order; the first failure ends the run, and is in the log like the jobs before it.
 
     With ``by_day`` all layers keep earlier days beside the one loaded.  With ``resume`` writes that an earlier run of
     the date has finished from the same landing files are left out; their audits say SKIPPED.  ``jobs`` names the
-    layers to run; one that is run alone works on what the layer below holds.
+    layers to run; one that is run alone works on what the layer below holds.  With ``database`` silver and the marts,
+    where they are replaced whole, are tables of that database, each swapped when its new rows are complete; the
+    versions before the last are deleted at the end of a run without failure.
     """
     if unknown := set(jobs) - set(JOBS):
         raise ValueError(f"no such job: {sorted(unknown)}; there are {list(JOBS)}")
@@ -222,13 +257,14 @@ def run_day(
 
     def silver(log: list[WriteAudit]) -> None:
         made_of = combined(inputs["bronze"], as_of)
-        manifest.step(log, "silver", SILVER_DATASET, made_of, lambda: run_silver(spark, base, as_of, by_day, log))
+        manifest.step(log, "silver", SILVER_DATASET, made_of, lambda: run_silver(spark, base, as_of, by_day, log, database))
 
     def gold(log: list[WriteAudit]) -> None:
         # Gold follows silver, which follows bronze: what silver was made of stands for silver.
         made_of = combined(inputs["bronze"] if "silver_transform" in done else journal.run_id, as_of)
         for mart in GOLD_MARTS:
-            manifest.step(log, "gold", mart, made_of, lambda mart=mart: run_gold(spark, base, as_of, by_day, log, [mart]))
+            write = partial(run_gold, spark, base, as_of, by_day, log, [mart], database)
+            manifest.step(log, "gold", mart, made_of, write)
 
     sources = {"bronze_ingest": landed, "silver_transform": stored, "gold_transform": [f"silver/{SILVER_DATASET}"]}
     work = {"bronze_ingest": bronze, "silver_transform": silver, "gold_transform": gold}
@@ -245,7 +281,10 @@ def run_day(
         raise
     journal.save(spark, base)
     if "silver_transform" in done:
-        log_state(spark, base, as_of, journal.run_id, by_day)
+        log_state(spark, base, as_of, journal.run_id, by_day, database)
+    if database and not by_day:
+        for layer, dataset in [("silver", SILVER_DATASET), *(("gold", mart) for mart in GOLD_MARTS)]:
+            expire_versions(spark, database, dataset, layer_path(base, layer, dataset))
     return [a for audits in done.values() for a in audits]
 
 
@@ -286,6 +325,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--base", required=True, help="folder of the bronze, silver, gold and logs layers")
     parser.add_argument("--execution-date", help="YYYY-MM-DD; by default EXECUTION_DATE of the environment, then today")
     parser.add_argument("--by-day", action="store_true", help="replace only this date in each layer")
+    parser.add_argument("--database", help="make silver and the marts tables of this database, swapped whole")
     parser.add_argument("--job", choices=JOBS, action="append", help="run this layer only; may be given again")
     parser.add_argument("--resume", action="store_true", help="leave out what an earlier run of the date has finished")
     parser.add_argument("--retries", type=int, default=0, help="further attempts after a failure")
@@ -296,9 +336,11 @@ def main(argv: list[str] | None = None) -> int:
         as_of = execution_date(args.execution_date)
         spark = build_session("strataflow-daily")
         set_target_file_size(spark, args.file_size_mb)
+        if args.database:
+            create_database(spark, args.database)
         audits = run_with_retries(
             spark, args.landing, args.base, as_of, args.by_day, resume=args.resume, jobs=args.job or JOBS,
-            retries=args.retries, wait=dt.timedelta(minutes=args.retry_minutes),
+            database=args.database, retries=args.retries, wait=dt.timedelta(minutes=args.retry_minutes),
         )
     except Exception as failure:  # noqa: BLE001  the exit code and one line tell it
         print(f"{error_class(failure)}: {type(failure).__name__}: {str(failure).splitlines()[0]}", file=sys.stderr)

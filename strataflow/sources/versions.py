@@ -35,9 +35,16 @@ def current_version(spark: SparkSession, database: str, table: str) -> str | Non
 
 
 def publish_version(
-    spark: SparkSession, df: DataFrame, database: str, table: str, root: str, log: list[WriteAudit] | None = None
-) -> str:
-    """Write ``df`` to a new folder below ``root`` and make it what the table holds; the new folder's path.
+    spark: SparkSession,
+    df: DataFrame,
+    database: str,
+    table: str,
+    root: str,
+    log: list[WriteAudit] | None = None,
+    layer: str = "versions",
+    files: int | None = None,
+) -> WriteAudit:
+    """Write ``df`` to a new folder below ``root`` and make it what the table holds.
 
     The first version creates the table.  Later ones must have its columns.
     """
@@ -48,13 +55,13 @@ def publish_version(
             raise ValueError(f"{database}.{table} has other columns")
     made = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     path = f"{root.rstrip('/')}/version-{made}-{uuid.uuid4().hex[:8]}"
-    audited_write(df, path, "versions", f"{database}.{table}", mode="errorifexists", log=log)
+    audit = audited_write(df, path, layer, table, mode="errorifexists", files=files, log=log)
     if before is None:
         spark.sql(f"CREATE TABLE {_named(database, table)} USING PARQUET LOCATION {text(path)}")
     else:
         spark.sql(f"ALTER TABLE {_named(database, table)} SET LOCATION {text(path)}")
         spark.catalog.refreshTable(_named(database, table))
-    return path
+    return audit
 
 
 def stored_versions(spark: SparkSession, root: str) -> list[str]:

@@ -138,6 +138,23 @@ def test_readers_keep_the_version_they_began_with(spark, base, database):
     assert versions.expire_versions(spark, database, "t1", f"{base}/elsewhere") == []
 
 
+def test_a_run_swaps_its_tables(spark, base, database, tmp_path):
+    landing = str(tmp_path / "landing")
+    land(spark, landing)
+    first = daily.run_day(spark, landing, base, AS_OF, database=database)
+    mart = spark.table(f"{database}.contract_analysis")
+    silver = spark.table(f"{database}.{c.SILVER_DATASET}")
+    n = silver.count()
+    land(spark, landing, names=("contrat1", "contrat1", "client"), only=("contrat2",))
+    second = daily.run_day(spark, landing, base, AS_OF, resume=True, database=database)
+    assert {a.dataset for a in second if a.status == "SUCCESS"} == {a.dataset for a in first} - {"Contrat1", "Client"}
+    # The readers that began before still see the first run.
+    assert silver.count() == n == first[3].rows != second[3].rows == spark.table(f"{database}.{c.SILVER_DATASET}").count()
+    assert sorted(mart.columns) == sorted(spark.table(f"{database}.contract_analysis").columns)
+    daily.run_day(spark, landing, base, AS_OF, database=database)
+    assert len(versions.stored_versions(spark, layers.layer_path(base, "gold", "contract_analysis"))) == 2
+
+
 # ---- history ----
 
 
