@@ -340,6 +340,27 @@ def _partition_conformance() -> str:
 
 ORACLE: dict[str, str] = {
     # scans, sinks
+    "csv_mixed_headers": _with(["contrat2"], f"SELECT {_LANDED} FROM contrat2"),
+    "clustered_layout": "SELECT * FROM lineitem",
+    "merged_profile": " UNION ALL ".join(
+        f"""SELECT '{n}' AS column_name, count({n}) AS n, count(*) FILTER ({n} IS NULL) AS n_null,
+      sum(CAST({n} AS DECIMAL(28,6))) AS total, CAST(min({n}) AS DOUBLE) AS min, CAST(max({n}) AS DOUBLE) AS max,
+      true AS distinct_within_bound, true AS median_within_bound FROM lineitem"""
+        for n in ("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+    ),
+    "bronze_stream_ingest": _with(
+        ["contrat2"],
+        f"""SELECT {_LANDED}, 2026 AS ingestion_year, 3 AS ingestion_month, 8 AS ingestion_day,
+      CAST(nucon % 2 AS INT) AS ingestion_batch FROM contrat2""",
+    ),
+    "catalog_column_stats": " UNION ALL ".join(
+        f"""SELECT '{n}' AS column_name, CAST(min({v}) AS STRING) AS min, CAST(max({v}) AS STRING) AS max,
+      CAST(count(*) FILTER ({v} IS NULL) AS STRING) AS num_nulls FROM lineitem"""
+        for n, v in [
+            ("l_orderkey", "l_orderkey"), ("l_partkey", "l_partkey"), ("l_suppkey", "l_suppkey"),
+            ("l_linenumber", "nullif(l_linenumber, 7)"),
+        ]
+    ),
     "csv_contract_scan": _with(["contrat2"], f"SELECT {_LANDED} FROM contrat2"),
     "parquet_scan": "SELECT * FROM lineitem",
     "partition_pruned_read": _with(["daily_log"], "SELECT * FROM daily_log WHERE CAST(event_ts AS DATE) = DATE '2024-01-15'"),

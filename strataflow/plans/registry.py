@@ -15,15 +15,15 @@ from pyspark.sql import functions as F
 
 from strataflow import contracts as c
 from strataflow.functions.columns import as_percentage, calendar_date, money, safe_divide
-from strataflow.operators import aggregates, calendar, history, quality, runlog
+from strataflow.operators import aggregates, calendar, history, quality, runlog, sketches
 from strataflow.operators import projections as p
 from strataflow.operators.dedup import keep_first, total_order, union_sources
 from strataflow.operators.joins import balanced_join
 from strataflow.plans import bronze, daily, gate, gold, manifest, silver
 from strataflow.plans.views import EXTREMES, NUMBERS_IN_TEXT, table, view, view_over
 from strataflow.session import scratch_path
-from strataflow.sources import bucketed, catalog, delimited, layers, versions
-from strataflow.streaming import kpis
+from strataflow.sources import bucketed, catalog, delimited, layers, layout, versions
+from strataflow.streaming import ingest, kpis
 
 AS_OF = dt.date(2026, 3, 8)
 ONE_DAY = dt.date(2024, 1, 15)
@@ -57,6 +57,17 @@ def csv_reject_rows(spark, sf_dir):
     return rejected.select("nusoc", "nucon", "etatco", F.col(delimited.REJECT_COLUMN).alias("raw_line"))
 
 
+@_query
+def csv_mixed_headers(spark, sf_dir):
+    """Files of one folder with their columns in two orders, and one whose header is another's."""
+    folder, contracts = scratch_path(spark, "landing"), view(spark, sf_dir, "contrat2")
+    delimited.write_delimited(contracts.where("nucon % 2 = 0"), f"{folder}/even")
+    delimited.write_delimited(contracts.where("nucon % 2 <> 0").select(*reversed(contracts.columns)), f"{folder}/odd")
+    delimited.write_delimited(view(spark, sf_dir, "client"), f"{folder}/other")
+    good, _ = delimited.scan_by_header(spark, folder, c.CONTRACT_SCHEMA)
+    return good
+
+
 @_query
 def parquet_scan(spark, sf_dir):
     return layers.read_layer(spark, f"{sf_dir}/lineitem.parquet")
@@ -115,6 +126,14 @@ def write_audit(spark, sf_dir):
     return layers.audit_frame(spark, audits).drop("seconds")
 
 
+@_query
+def clustered_layout(spark, sf_dir):
+    path = scratch_path(spark, "lineitem")
+    lines = table(spark, sf_dir, "lineitem")
+    layout.write_clustered(lines, path, ["l_orderkey", "l_shipdate"], bloom={"l_partkey": 100_000})
+    return layers.read_layer(spark, path)
+
+
 @_query
 def versioned_overwrite(spark, sf_dir):
     """A reader that began before an overwrite and one that began after it, both read after it."""
@@ -401,6 +420,29 @@ def dq_silver_profile(spark, sf_dir):
     return quality.validate_silver(layers.read_layer(spark, path), c.SILVER_DATASET)
 
 
+@_query
+def merged_profile(spark, sf_dir):
+    """Profiles stored per month and merged without the data; the estimates are held against the data itself."""
+    path, lines = scratch_path(spark, "profiles"), table(spark, sf_dir, "lineitem")
+    columns = ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"]
+    layers.write_layer(sketches.sliced_profiles(lines, F.trunc(calendar_date(F.col("l_shipdate")), "month"), columns), path)
+    merged = sketches.merged_profiles(layers.read_layer(spark, path))
+    # Four rows, one for each of the columns named above.
+    found = {r.column_name: r for r in merged.collect()}
+    middle = {n: F.lit(found[n].quantiles[1]) for n in columns}
+    exact = lines.agg(
+        *[F.count_distinct(n).alias(f"d_{n}") for n in columns],
+        *[F.avg((F.col(n) < middle[n]).cast("int")).alias(f"b_{n}") for n in columns],
+        *[F.avg((F.col(n) <= middle[n]).cast("int")).alias(f"a_{n}") for n in columns],
+    ).first()
+    held = [
+        (n, abs(found[n].n_distinct / exact[f"d_{n}"] - 1) < 0.04, exact[f"b_{n}"] < 0.51 and exact[f"a_{n}"] > 0.49)
+        for n in columns
+    ]
+    bounds = spark.createDataFrame(held, "column_name STRING, distinct_within_bound BOOLEAN, median_within_bound BOOLEAN")
+    return merged.join(bounds, "column_name").drop("n_distinct", "quantiles")
+
+
 @_query
 def dq_bronze_validation(spark, sf_dir):
     return quality.validate_bronze(view(spark, sf_dir, "quality_input"), "lines")
@@ -579,6 +621,18 @@ def catalog_table_query(spark, sf_dir):
     return days.agg(F.count(F.lit(1)).alias("n_runs"), F.sum("records_out").alias("total_records"))
 
 
+@_query
+def catalog_column_stats(spark, sf_dir):
+    path = scratch_path(spark, "lines")
+    database, name = "strataflow_gold", "lines_" + path.rsplit("-", 1)[-1]
+    columns = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    lines = table(spark, sf_dir, "lineitem").withColumn("l_linenumber", F.expr("nullif(l_linenumber, 7)"))
+    catalog.create_database(spark, database, "registered layers", scratch_path(spark, "database"))
+    lines.write.option("path", path).saveAsTable(f"{database}.{name}")
+    catalog.analyze_columns(spark, database, name, columns)
+    return catalog.column_stats(spark, database, name, columns).drop("distinct_count")
+
+
 # ---- whole layers -----------------------------------------------------------
 
 
@@ -590,6 +644,19 @@ def bronze_ingest(spark, sf_dir):
     return union_sources(*contracts)
 
 
+@_query
+def bronze_stream_ingest(spark, sf_dir):
+    """Files that arrive in two instalments, the last batch delivered once more."""
+    folder, path, state = (scratch_path(spark, n) for n in ("landing", "bronze", "state"))
+    contracts = view(spark, sf_dir, "contrat2")
+    for part in (0, 1):
+        delimited.write_delimited(contracts.where(f"nucon % 2 = {part}"), f"{folder}/{part}")
+        ingest.start_ingest(spark, f"{folder}/*", c.CONTRACT_SCHEMA, path, state, AS_OF).awaitTermination()
+    again = delimited.scan_delimited(spark, f"{folder}/1", c.CONTRACT_SCHEMA)
+    ingest.write_batch(again, 1, path, AS_OF + dt.timedelta(days=1))
+    return layers.read_layer(spark, path).drop("ingestion_timestamp")
+
+
 @_query
 def bronze_ingest_client(spark, sf_dir):
     base = scratch_path(spark, "lake")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from strataflow.functions.sqltext import quoted, text
 
@@ -51,3 +51,29 @@ def add_partitions(spark: SparkSession, database: str, table: str, partitions: S
 def recover_partitions(spark: SparkSession, database: str, table: str) -> None:
     """Register every partition folder found at the table's location."""
     spark.sql(f"ALTER TABLE {_path(database, table)} RECOVER PARTITIONS")
+
+
+def analyze_columns(spark: SparkSession, database: str, table: str, columns: Sequence[str] = ()) -> None:
+    """Count the table's rows and take the statistics of the columns (all of them by default) in one scan."""
+    which = f"COLUMNS {', '.join(map(quoted, columns))}" if columns else "ALL COLUMNS"
+    spark.sql(f"ANALYZE TABLE {_path(database, table)} COMPUTE STATISTICS FOR {which}")
+
+
+def column_stats(spark: SparkSession, database: str, table: str, columns: Sequence[str]) -> DataFrame:
+    """What the catalog knows of the columns, as text: least and greatest value, nulls, distinct values (estimated).
+
+    Nulls where a column has not been analyzed.  Nothing but the catalog is read.
+    """
+    found = []
+    for column in columns:
+        described = spark.sql(f"DESCRIBE EXTENDED {_path(database, table)} {quoted(column)}").collect()
+        known = {r.info_name: None if r.info_value == "NULL" else r.info_value for r in described}
+        found.append((column, *[known.get(k) for k in ("min", "max", "num_nulls", "distinct_count")]))
+    schema = "column_name STRING, min STRING, max STRING, num_nulls STRING, distinct_count STRING"
+    return spark.createDataFrame(found, schema)
+
+
+def use_statistics(spark: SparkSession, on: bool = True) -> None:
+    """Let the planner of this session estimate sizes, and order joins, from the catalog's column statistics."""
+    for key in ("spark.sql.cbo.enabled", "spark.sql.cbo.joinReorder.enabled"):
+        spark.conf.set(key, str(on).lower())
