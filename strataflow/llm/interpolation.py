@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from strataflow.llm.common import remainder, sized, stored, words_of
 
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 6_000_000
 BLOCKS_A_RANGE = 12
 BUCKETS = 24  # of context frequencies: unseen, 1, 2-3, 4-7, ...
 ADD = 0.1  # of the base score
