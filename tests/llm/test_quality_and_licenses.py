@@ -134,3 +134,16 @@ def test_notices_at_the_very_end_are_found_at_every_length(documents):
         expected |= {(d, name) for name, own in known.items() if len(own & runs(words)) >= 0.8 * len(own)}
     assert {d for d, _ in texts} == {d for d, _ in expected}
     assert set(rows(license_scan.licenses_found(documents(*texts)), "doc_id", "license")) == expected
+
+
+def test_same_rows_as_sql_where_cutoffs_are_certified(spark):
+    """With the query's risk so few labels certify nothing; with a larger one they do, and rules reject rows."""
+    folder = SF.replace("sf0.001", "sf0.01")
+    risk = quality_rules.Risk(0.8)
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    verdicts = quality_rules.quality_verdicts(docs, labels, risk).selectExpr("doc_id", *COUNTS, "_kept")
+    got = rows(verdicts)
+    expected = connect(folder).sql(quality_rules.oracle_sql(risk)).fetchall()
+    assert got == sorted(map(tuple, expected), key=repr)
+    by_rule = [r for r in got if not r[-1] and not r[-2]]
+    assert len(by_rule) > 5
