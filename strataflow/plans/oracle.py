@@ -496,6 +496,22 @@ ORACLE: dict[str, str] = {
     "dq_null_profile": _with(["contrat2"], _contract_nulls()),
     "contract_mart_extremes": f"WITH silver AS ({EXTREMES})\n{STEPS['mart']}",
     "text_statistics": f"WITH numbers AS ({NUMBERS_IN_TEXT})\n" + _all(_statistics("numbers", NUMBER_TYPES).values()),
+    "data_volume_of_text": """SELECT 'landing' AS layer, 'orders' AS dataset, 13 * count(*) AS size_bytes FROM orders
+      UNION ALL SELECT 'landing', 'lines', 21 * count(*) FROM lineitem""",
+    "daily_run_checks": _with(
+        ["silver"],
+        "SELECT *, DATE '2026-03-08' AS run_date FROM ("
+        + _all(
+            [
+                _row_count("Client_contrat_silver", "silver"),
+                _critical("Client_contrat_silver", "silver", ["nusoc", "nucon"]),
+                _result("Client_contrat_silver", "amount_conformance", "n", _unless("n > 0", "WARN"), "'prmaco'", "'decimal(28,6)'")
+                + " FROM (SELECT count(*) FILTER (prmaco IS NOT NULL AND TRY_CAST(prmaco AS DECIMAL(28,6)) IS NULL) AS n FROM silver)",
+                _duplicates("Client_contrat_silver", "key_duplicates", "silver", ["nusoc", "nucon"], "WARN", "nusoc,nucon"),
+            ]
+        )
+        + ")",
+    ),
     "dq_amount_conformance": f"WITH extremes AS ({EXTREMES})\n"
     + _result(
         "extremes",

@@ -608,6 +608,25 @@ def data_volume(spark, sf_dir):
     return layers.stored_bytes(spark, sf_dir, "raw")
 
 
+@_query
+def data_volume_of_text(spark, sf_dir):
+    """Bytes of layers whose size is known: lines of 13 and of 21 bytes, one for each order and line item."""
+    base = scratch_path(spark, "volumes")
+    for name, source, key, width in (("orders", "orders", "o_orderkey", 12), ("lines", "lineitem", "l_orderkey", 20)):
+        fixed = table(spark, sf_dir, source).select(F.lpad(F.col(key).cast("string"), width, "0"))
+        fixed.write.text(layers.layer_path(base, "landing", name))
+    return layers.stored_bytes(spark, f"{base}/landing", "landing").drop("n_files")
+
+
+@_query
+def daily_run_checks(spark, sf_dir):
+    """The check results that the run of a day leaves in its log."""
+    base = scratch_path(spark, "lake")
+    daily.run_day(spark, _landed(spark, sf_dir), base, AS_OF)
+    results = layers.read_layer(spark, layers.layer_path(base, "logs", "check_results"))
+    return results.select(*quality.RESULT_COLUMNS, "run_date")
+
+
 @_query
 def catalog_table_query(spark, sf_dir):
     path = _stored_run_log(spark, sf_dir)

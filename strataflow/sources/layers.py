@@ -156,12 +156,15 @@ def audit_frame(spark: SparkSession, audits: Sequence[WriteAudit]) -> DataFrame:
     return spark.createDataFrame(rows, "layer STRING, dataset STRING, n_rows LONG, seconds DOUBLE, status STRING")
 
 
-def stored_bytes(spark: SparkSession, path: str, layer: str) -> DataFrame:
-    """Bytes and files per dataset below a layer folder, from file listings alone: no file is opened."""
+def stored_bytes(spark: SparkSession, path: str, layer: str, pattern: str = "*") -> DataFrame:
+    """Bytes and files per dataset below a layer folder, from file listings alone: no file is opened.
+
+    Files of every type count, but for hidden ones (``_SUCCESS``, checksums); ``pattern`` names others to count.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
+        .option("pathGlobFilter", pattern)
         .load(path)
         .select("path", "length")
     )
