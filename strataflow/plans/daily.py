@@ -29,6 +29,7 @@ from strataflow.plans.gold import client_profile, contract_analysis
 from strataflow.plans.manifest import Manifest, combined, fingerprint
 from strataflow.plans.silver import silver_contracts
 from strataflow.session import build_session
+from strataflow.sources.archive import archive_landed
 from strataflow.sources.catalog import create_database
 from strataflow.sources.layers import (
     WriteAudit,
@@ -223,6 +224,7 @@ def run_day(
     resume: bool = False,
     jobs: Sequence[str] = JOBS,
     database: str | None = None,
+    archive: str | None = None,
     **scan,
 ) -> list[WriteAudit]:
     """The layers in order; the first failure ends the run, and is in the log like the jobs before it.
@@ -231,7 +233,8 @@ def run_day(
     the date has finished from the same landing files are left out; their audits say SKIPPED.  ``jobs`` names the
     layers to run; one that is run alone works on what the layer below holds.  With ``database`` silver and the marts,
     where they are replaced whole, are tables of that database, each swapped when its new rows are complete; the
-    versions before the last are deleted at the end of a run without failure.
+    versions before the last are deleted at the end of a run without failure.  With ``archive`` the landing files that
+    such a run has ingested are moved below that folder, to one of the date and the run.
     """
     if unknown := set(jobs) - set(JOBS):
         raise ValueError(f"no such job: {sorted(unknown)}; there are {list(JOBS)}")
@@ -285,6 +288,9 @@ def run_day(
     if database and not by_day:
         for layer, dataset in [("silver", SILVER_DATASET), *(("gold", mart) for mart in GOLD_MARTS)]:
             expire_versions(spark, database, dataset, layer_path(base, layer, dataset))
+    if archive and "bronze_ingest" in done:
+        for _, file, _ in BRONZE_DATASETS:
+            archive_landed(spark, f"{landing.rstrip('/')}/{file}", f"{archive.rstrip('/')}/{as_of}/{journal.run_id}")
     return [a for audits in done.values() for a in audits]
 
 
@@ -326,6 +332,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--execution-date", help="YYYY-MM-DD; by default EXECUTION_DATE of the environment, then today")
     parser.add_argument("--by-day", action="store_true", help="replace only this date in each layer")
     parser.add_argument("--database", help="make silver and the marts tables of this database, swapped whole")
+    parser.add_argument("--archive", help="folder that ingested landing files are moved to")
     parser.add_argument("--job", choices=JOBS, action="append", help="run this layer only; may be given again")
     parser.add_argument("--resume", action="store_true", help="leave out what an earlier run of the date has finished")
     parser.add_argument("--retries", type=int, default=0, help="further attempts after a failure")
@@ -340,7 +347,7 @@ def main(argv: list[str] | None = None) -> int:
             create_database(spark, args.database)
         audits = run_with_retries(
             spark, args.landing, args.base, as_of, args.by_day, resume=args.resume, jobs=args.job or JOBS,
-            database=args.database, retries=args.retries, wait=dt.timedelta(minutes=args.retry_minutes),
+            database=args.database, archive=args.archive, retries=args.retries, wait=dt.timedelta(minutes=args.retry_minutes),
         )
     except Exception as failure:  # noqa: BLE001  the exit code and one line tell it
         print(f"{error_class(failure)}: {type(failure).__name__}: {str(failure).splitlines()[0]}", file=sys.stderr)

@@ -63,7 +63,9 @@ def header_orders(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return first.groupBy("file").agg(F.first(F.when(is_header, F.col("columns")), ignorenulls=True).alias("columns"))
 
 
-def scan_by_header(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+def scan_by_header(
+    spark: SparkSession, path: str, schema: str, keep_rejects: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """All rows of the files of a folder whose header names just the schema's columns, in any order; and the other files.
 
     Each column is bound by its name in the file's own header.  There is one scan per order that occurs; the driver holds
@@ -72,9 +74,10 @@ def scan_by_header(spark: SparkSession, path: str, schema: str) -> tuple[DataFra
     orders = header_orders(spark, path, schema)
     fields = spark.createDataFrame([], schema).schema
     groups = orders.where("columns IS NOT NULL").groupBy("columns").agg(F.collect_list("file").alias("files")).collect()
-    scans = [scan_delimited(spark, path, schema).limit(0)] if not groups else []
+    names = [*fields.names, *([REJECT_COLUMN] if keep_rejects else [])]
+    scans = [scan_delimited(spark, path, schema, keep_rejects=keep_rejects).limit(0)] if not groups else []
     for group in groups:
         own = ", ".join(f"`{n}` {fields[n].dataType.simpleString()}" for n in group.columns)
         files = [unquote(f) for f in sorted(group.files)]
-        scans.append(scan_delimited(spark, files, own).select(*fields.names))
+        scans.append(scan_delimited(spark, files, own, keep_rejects=keep_rejects).select(*names))
     return reduce(DataFrame.unionByName, scans), orders.where("columns IS NULL").select("file")

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from strataflow import contracts as c
 from strataflow.operators import history, runlog
 from strataflow.operators.dedup import row_digest
-from strataflow.plans import daily, manifest
+from strataflow.plans import bronze, daily, manifest
 from strataflow.plans.views import view
 from strataflow.sources import bucketed, catalog, delimited, layers, versions
+from strataflow.sources.archive import archive_landed
 from tests.conftest import AS_OF, SF, plan_of, rows
 
 NAMES = ["contrat2", "contrat1", "client"]
@@ -108,6 +109,26 @@ def test_single_jobs_dates_and_exit_codes(spark, base, tmp_path, monkeypatch, ca
         daily.run_day(spark, landing, base, AS_OF, jobs=["gold"])
 
 
+def test_ingested_files_are_archived_and_headers_bound(spark, base, tmp_path):
+    landing, archive = str(tmp_path / "landing"), str(tmp_path / "archive")
+    land(spark, landing, only=("contrat1", "client"))
+    newer = view(spark, SF, "contrat2")
+    delimited.write_delimited(newer.where("nucon % 2 = 0"), f"{landing}/Contrat2.csv/a")
+    delimited.write_delimited(newer.where("nucon % 2 <> 0").select(*reversed(newer.columns)), f"{landing}/Contrat2.csv/b")
+    (tmp_path / "landing" / "Contrat2.csv" / "other.csv").write_text("no,header,of,ours\n1,2,3,4\n")
+    audits = daily.run_day(spark, landing, base, AS_OF, by_header=True, archive=archive)
+    by_name = {(a.layer, a.dataset): a.rows for a in audits}
+    assert by_name["bronze", "Contrat2"] == newer.count() and by_name["rejects", "Contrat2_files"] == 1
+    stored = bronze.read_bronze(spark, base, "Contrat2")
+    typed = stored.select([F.col(n).cast(t) for n, t in newer.drop("prmaco").dtypes])
+    assert typed.exceptAll(newer.drop("prmaco").select(typed.columns)).isEmpty()
+    assert list((tmp_path / "landing").iterdir()) == []
+    runs = list((tmp_path / "archive" / str(AS_OF)).iterdir())
+    assert len(runs) == 1 and sorted(p.name for p in runs[0].iterdir() if p.is_dir()) == sorted(f for _, f, _ in c.BRONZE_DATASETS)
+    with pytest.raises(FileNotFoundError):
+        archive_landed(spark, f"{landing}/Contrat2.csv", archive)
+
+
 # ---- versions ----
 
 
