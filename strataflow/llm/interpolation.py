@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from strataflow.llm.common import remainder, sized, stored, words_of
 
-BLOCK_BYTES = 6_000_000
+BLOCK_BYTES = 4_000_000
 BLOCKS_A_RANGE = 12
 BUCKETS = 24  # of context frequencies: unseen, 1, 2-3, 4-7, ...
 ADD = 0.1  # of the base score
@@ -329,7 +329,7 @@ def interpolated_scores(docs: DataFrame, modulus: int = 10, test_fold: int = 0,
     spark = docs.sparkSession
     blocks = block_frame(docs, modulus, tune_fold)
     # A range gets the keys of BLOCKS_A_RANGE blocks at most, however many there are.
-    ranges = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-blocks.count() // BLOCKS_A_RANGE))
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-blocks.count() // BLOCKS_A_RANGE))
     given = stored(answers(requests(blocks, ranges, test_fold, tune_fold)), "lm-counts")
     parts = [np.frombuffer(r.kept, "<u8") for r in given.where("block = -1").select("kept").toLocalIterator()]
     sizes = Sizes(*[int(x) for x in np.sum(parts, axis=0)]) if parts else Sizes(0, 0, 0, 0)
