@@ -14,6 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strataflow.functions.sqltext import unused
 from strataflow.operators.dedup import row_digest
 from strataflow.sources.layers import overwrite_partitions, read_layer
 
@@ -34,19 +35,23 @@ def valid_rows(history: DataFrame, keys: Sequence[str], before: dt.date | None =
     narrow = history.select(*keys, DAY, KIND, DIGEST)
     if before is not None:
         narrow = narrow.where(F.col(DAY) < F.lit(before))
-    last = narrow.groupBy(*keys).agg(F.max_by(F.struct(KIND, DIGEST), DAY).alias("_last"))
-    return last.where(F.col(f"_last.{KIND}") != CLOSED).select(*keys, F.col(f"_last.{DIGEST}").alias(DIGEST))
+    name = unused("_last", keys)
+    last = narrow.groupBy(*keys).agg(F.max_by(F.struct(KIND, DIGEST), DAY).alias(name))
+    return last.where(F.col(f"{name}.{KIND}") != CLOSED).select(*keys, F.col(f"{name}.{DIGEST}").alias(DIGEST))
 
 
 def day_changes(snapshot: DataFrame, valid: DataFrame, keys: Sequence[str], day: dt.date) -> DataFrame:
     """The changes that lead from ``valid`` (keys and digest) to ``snapshot`` (one row per key).
 
-    A closed row has its key only.
+    A closed row has its key only.  The names of the log's own columns must not occur in the snapshot.
     """
+    if taken := {DAY, KIND, DIGEST} & {n.lower() for n in snapshot.columns}:
+        raise ValueError(f"columns of the history's own: {sorted(taken)}")
+    old, known = unused("_was", snapshot.columns), unused("_known", snapshot.columns)
     now = snapshot.withColumn(DIGEST, row_digest(snapshot))
-    was = valid.withColumnRenamed(DIGEST, "_was").withColumn("_known", F.lit(True))
-    differs = F.col("_known").isNull() | (F.col(DIGEST) != F.col("_was"))
-    kind = F.when(F.col("_known").isNull(), INSERTED).otherwise(CHANGED)
+    was = valid.withColumnRenamed(DIGEST, old).withColumn(known, F.lit(True))
+    differs = F.col(known).isNull() | (F.col(DIGEST) != F.col(old))
+    kind = F.when(F.col(known).isNull(), INSERTED).otherwise(CHANGED)
     kept = now.join(was, _same(now, was, keys), "left").where(differs)
     written = kept.select(*[now[n] for n in snapshot.columns], DIGEST, kind.alias(KIND))
     gone = valid.join(snapshot.select(*keys), _same(valid, snapshot, keys), "left_anti")

@@ -225,6 +225,16 @@ def test_a_rerun_replaces_its_day_and_order_is_kept(spark, base):
         history.record_day(spark, snapshot(spark, k1=1.0), path, keys, day)
 
 
+def test_columns_named_like_the_helpers_are_kept(spark, base):
+    df = spark.createDataFrame([(1, 2, 3)], "k INT, _was INT, _known INT")
+    for day, value in ((AS_OF, 3), (AS_OF + dt.timedelta(days=1), 4)):
+        history.record_day(spark, df.withColumn("_known", F.lit(value)), f"{base}/h", ["k"], day)
+    log = layers.read_layer(spark, f"{base}/h")
+    assert rows(history.snapshot_of(log, ["k"], AS_OF + dt.timedelta(days=1))) == [(1, 2, 4)] and log.count() == 2
+    with pytest.raises(ValueError, match="history's own"):
+        history.record_day(spark, df.withColumn("Change", F.lit(1)), f"{base}/other", ["k"], AS_OF)
+
+
 def test_what_is_valid_is_read_without_the_other_columns(spark, base):
     history.record_day(spark, snapshot(spark, k1=1.0), f"{base}/h", ["k", "j"], AS_OF)
     plan = plan_of(history.valid_rows(layers.read_layer(spark, f"{base}/h"), ["k", "j"], AS_OF))
