@@ -5,19 +5,21 @@ one window).  Window and item have a 64-bit SimHash over their shingles of five
 fingerprints within ``RADIUS`` bits: the bits are cut into ``RADIUS + 1`` blocks, of which at least one must then be
 equal, and the items are filed under each of their blocks.  A candidate is verified exactly: shingles weigh
 ``ln(1 + items / items with the shingle)``, those of no item as if one had them, and the weight of the shared shingles
-must be at least ``SIMILARITY`` of the weight of all shingles of both.
+must be at least ``SIMILARITY`` of the weight of all shingles of both.  The counts are those of the whole benchmark: what
+is found does not depend on how the items are put into blocks.
 
 Fingerprints are made only of windows that could pass: one whose item shingles weigh less than ``SIMILARITY`` of the
 lightest item of its size has no verified pair, so leaving it out loses nothing.
 
 The items are taken in blocks of at most ``SHINGLES_AT_ONCE`` shingles, which bounds what the executors are sent; each
-block is one pass over the documents.  Documents are neither moved nor cut.
+block is one pass over the documents.  With every block go the shingles that several items have (16 bytes each; all others
+have the weight of a single item); a benchmark with more than ``COMMON_SHINGLES`` of them is refused with an error before
+any document is read.  Documents are neither moved nor cut.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,12 +29,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import sized, words_of
+from strataflow.llm.common import WORD, rows_of, sized, words_of
 
 SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS = 16
 SHINGLES_AT_ONCE = 1_000_000
+COMMON_SHINGLES = 4_000_000
 READ_BYTES = 2_000_000
 WINDOWS_AT_ONCE = 4_096
 WORDS_KNOWN = 200_000
@@ -79,6 +82,31 @@ def fingerprints(set_bits: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.packbits(2 * set_bits > sizes[:, None], axis=1, bitorder="little").view("<u8").ravel()
 
 
+def item_shingles(words: np.ndarray) -> np.ndarray:
+    """Shingles of an item; one of fewer words than a shingle is a shingle itself."""
+    return shingle_hashes(words, min(SHINGLE, len(words)))
+
+
+@dataclass(frozen=True)
+class Frequencies:
+    """How many items the benchmark has, and in how many a shingle stands: listed if in several."""
+
+    n_items: int
+    common: np.ndarray
+    count: np.ndarray
+
+    @property
+    def rare(self) -> float:
+        return math.log(1 + max(1, self.n_items))
+
+    def weights(self, hashes: np.ndarray) -> np.ndarray:
+        count = np.ones(len(hashes))
+        if len(self.common):
+            place = np.minimum(np.searchsorted(self.common, hashes), len(self.common) - 1)
+            count = np.where(self.common[place] == hashes, self.count[place], count)
+        return np.log(1 + max(1, self.n_items) / count)
+
+
 @dataclass(frozen=True)
 class Item:
     item_id: int
@@ -96,28 +124,34 @@ class SizeClass:
     shingle: int
     least: float
     items: list[Item]
-    filed: list[dict[int, list[int]]]
+    marks: np.ndarray
+    filed: list[dict[int, np.ndarray]]
 
 
 class Index:
     """Items of one block of the benchmark."""
 
-    def __init__(self, rows: list[tuple[int, str]], radius: int = RADIUS, similarity: float = SIMILARITY):
-        self.radius, self.similarity = radius, similarity
+    def __init__(
+        self,
+        rows: list[tuple[int, str]],
+        frequencies: Frequencies,
+        radius: int = RADIUS,
+        similarity: float = SIMILARITY,
+    ):
+        self.radius, self.similarity, self.frequencies = radius, similarity, frequencies
         hashes = WordHashes()
         parts = []
         for item_id, text in rows:
             words = hashes.of(words_of(text))
             if len(words):
-                size = min(SHINGLE, len(words))
-                parts.append((item_id, len(words), size, shingle_hashes(words, size)))
-        seen = Counter(h for *_, hs in parts for h in set(hs.tolist()))
-        self.rare = math.log(1 + max(1, len(parts)))
-        self.weight = {h: math.log(1 + len(parts) / n) for h, n in seen.items()}
+                parts.append((item_id, len(words), item_shingles(words)))
+        self.known = np.unique(np.concatenate([hs for *_, hs in parts] or [np.zeros(0, np.uint64)]))
+        self.known_weight = frequencies.weights(self.known)
+        self.weight = dict(zip(self.known.tolist(), self.known_weight.tolist(), strict=True))
         self.edges = np.linspace(0, 64, radius + 2).astype(int)
         self.classes: list[SizeClass] = []
         by_size: dict[int, list[Item]] = {}
-        for item_id, n, _, hs in parts:
+        for item_id, n, hs in parts:
             distinct = frozenset(hs.tolist())
             mark = fingerprints(bit_counts(hs)[-1:], np.array([len(hs)]))[0]
             by_size.setdefault(n, []).append(Item(item_id, n, distinct, sum(map(self.weight.get, distinct)), int(mark)))
@@ -126,10 +160,10 @@ class Index:
             for i, item in enumerate(items):
                 for b, key in enumerate(self.blocks(item.fingerprint)):
                     filed[b].setdefault(key, []).append(i)
+            arrays = [{key: np.array(places) for key, places in of_block.items()} for of_block in filed]
+            marks = np.array([item.fingerprint for item in items], np.uint64)
             least = min(item.weight for item in items)
-            self.classes.append(SizeClass(n, min(SHINGLE, n), least, items, filed))
-        self.known = np.array(sorted(self.weight), np.uint64)
-        self.known_weight = np.array([self.weight[h] for h in self.known.tolist()])
+            self.classes.append(SizeClass(n, min(SHINGLE, n), least, items, marks, arrays))
         self.gate = np.zeros(1 << 22, bool)
         self.gate[(self.known & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
 
@@ -148,6 +182,17 @@ class Index:
             out[maybe[hit]] = self.known_weight[place[hit]]
         return out
 
+    def near(self, mark: int, kind: SizeClass) -> list[tuple[int, int]]:
+        """Places of all items of one size whose fingerprints are within the radius, with their distances."""
+        parts = [kind.filed[b].get(key) for b, key in enumerate(self.blocks(mark))]
+        parts = [p for p in parts if p is not None]
+        if not parts:
+            return []
+        places = np.unique(np.concatenate(parts))
+        distances = np.bitwise_count(kind.marks[places] ^ np.uint64(mark))
+        close = distances <= self.radius
+        return list(zip(places[close].tolist(), distances[close].tolist(), strict=True))
+
     def matches(self, hashes: np.ndarray, weights: np.ndarray, kind: SizeClass) -> Iterator[tuple[int, Item, float, int]]:
         """Verified windows of one document, for the items of one size: start, item, similarity, distance."""
         total = len(hashes)
@@ -160,17 +205,14 @@ class Index:
             counts = bit_counts(hashes[low : part[-1] + size])
             marks = fingerprints(counts[part - low + size] - counts[part - low], np.full(len(part), size))
             for start, mark in zip(part.tolist(), marks.tolist(), strict=True):
-                near = {i for b, key in enumerate(self.blocks(mark)) for i in kind.filed[b].get(key, ())}
-                for i in sorted(near):
+                for i, distance in self.near(mark, kind):
                     item = kind.items[i]
-                    distance = (mark ^ item.fingerprint).bit_count()
-                    if distance <= self.radius:
-                        window = set(hashes[start : start + size].tolist())
-                        shared = sum(self.weight[h] for h in window & item.shingles)
-                        other = sum(self.weight.get(h, self.rare) for h in window - item.shingles)
-                        similarity = shared / (item.weight + other)
-                        if similarity >= self.similarity - 1e-12:
-                            yield start, item, similarity, distance
+                    window = set(hashes[start : start + size].tolist())
+                    shared = sum(self.weight[h] for h in window & item.shingles)
+                    other = self.frequencies.weights(np.array(list(window - item.shingles), np.uint64)).sum()
+                    similarity = float(shared / (item.weight + other))
+                    if similarity >= self.similarity - 1e-12:
+                        yield start, item, similarity, distance
 
     def passages(self, words: np.ndarray, five: np.ndarray, weights: np.ndarray) -> Iterator[tuple]:
         """item_id, start, n_words, similarity and distance: of windows that overlap, the best for each item."""
@@ -217,11 +259,36 @@ def found(texts: list[str | None], index: Index, known: WordHashes) -> Iterator[
                 yield row, *passage
 
 
+def items_of(benchmark: DataFrame) -> DataFrame:
+    """Distinct items; rows without id or without a word are none."""
+    rows = benchmark.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL")
+    return rows.where(F.col("text").rlike(WORD)).distinct()
+
+
+def frequencies(benchmark: DataFrame, most: int = COMMON_SHINGLES) -> Frequencies:
+    """Counts over the whole benchmark, whatever blocks it is taken in."""
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for batch in sized(batches, "text", READ_BYTES):
+            own = [np.unique(item_shingles(known.of(words_of(t)))) for (t,) in rows_of([batch], "text")]
+            flat = np.concatenate(own or [np.zeros(0, np.uint64)]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(flat)], ["shingle"])
+
+    items = items_of(benchmark)
+    counted = items.mapInArrow(shingles, "shingle long").groupBy("shingle").count().where("count > 1")
+    found = counted.limit(most + 1).toArrow()
+    if found.num_rows > most:
+        raise ValueError(f"more than {most} shingles stand in several items: take the benchmark in parts")
+    common = found.column("shingle").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(common)
+    return Frequencies(items.count(), common[order], found.column("count").to_numpy().astype(np.float64)[order])
+
+
 def item_blocks(benchmark: DataFrame, at_once: int = SHINGLES_AT_ONCE) -> Iterator[list[tuple[int, str]]]:
-    """Benchmark rows in blocks of bounded size; null ids and texts without words are no items."""
+    """Items in blocks of bounded size."""
     rows, size = [], 0
-    ordered = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text")
-    for r in ordered.distinct().sort("item_id", "text").toLocalIterator():
+    for r in items_of(benchmark).sort("item_id", "text").toLocalIterator():
         n = len(r.text.split())
         if rows and size + n > at_once:
             yield rows
@@ -237,12 +304,13 @@ def passages(docs: DataFrame, benchmark: DataFrame, at_once: int = SHINGLES_AT_O
 
     Repeated documents and items give a row each; null and empty texts give none.
     """
+    counts = docs.sparkSession.sparkContext.broadcast(frequencies(benchmark))
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     result = docs.sparkSession.createDataFrame([], MATCHES)
     for rows in item_blocks(benchmark, at_once):
 
         def run(batches: Iterator[pa.RecordBatch], rows=rows) -> Iterator[pa.RecordBatch]:
-            index, known = Index(rows, **settings), WordHashes()
+            index, known = Index(rows, counts.value, **settings), WordHashes()
             for batch in sized(batches, "text", READ_BYTES):
                 ids = batch.column("doc_id").to_pylist()
                 out = [(ids[r], *rest) for r, *rest in found(batch.column("text").to_pylist(), index, known)]
@@ -257,10 +325,11 @@ def passages(docs: DataFrame, benchmark: DataFrame, at_once: int = SHINGLES_AT_O
 
 def without_passages(docs: DataFrame, benchmark: DataFrame, at_once: int = SHINGLES_AT_ONCE, **settings) -> DataFrame:
     """The rows of ``docs`` in whose text no benchmark passage is found, all columns as they are."""
+    counts = docs.sparkSession.sparkContext.broadcast(frequencies(benchmark))
     for rows in item_blocks(benchmark, at_once):
 
         def run(batches: Iterator[pa.RecordBatch], rows=rows) -> Iterator[pa.RecordBatch]:
-            index, known = Index(rows, **settings), WordHashes()
+            index, known = Index(rows, counts.value, **settings), WordHashes()
             for batch in sized(batches, "text", READ_BYTES):
                 hit = {r for r, *_ in found(batch.column("text").to_pylist(), index, known)}
                 yield batch.filter(pa.array([i not in hit for i in range(batch.num_rows)]))

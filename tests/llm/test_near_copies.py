@@ -157,18 +157,47 @@ def test_passages_equal_all_windows_against_all_items(spark, documents):
     docs = documents(*texts.items())
     expected = plain_passages(texts, items)
     assert len(expected) > 30
-    for at_once in (10**6, 200):
-        found = decontamination.passages(docs, bench, at_once=at_once)
-        if at_once > 1000:
-            # a wide radius leaves nothing to chance in this comparison
-            wide = decontamination.passages(docs, bench, radius=31)
-            assert set(rows(wide, "doc_id", "item_id")) == expected
-            close = set(rows(found, "doc_id", "item_id"))
-            assert close <= expected and len(close) >= 0.97 * len(expected)
-        else:
-            assert found.count() > 0
+    # a wide radius leaves nothing to chance in this comparison
+    wide = decontamination.passages(docs, bench, radius=31)
+    assert set(rows(wide, "doc_id", "item_id")) == expected
+    found = decontamination.passages(docs, bench)
+    close = set(rows(found, "doc_id", "item_id"))
+    assert close <= expected and len(close) >= 0.97 * len(expected)
     clean = decontamination.without_passages(docs, bench, radius=31)
     assert clean.columns == docs.columns
     assert {r.doc_id for r in clean.collect()} == set(texts) - {d for d, _ in expected}
     assert decontamination.passages(docs.limit(0), bench).count() == 0
     assert decontamination.without_passages(docs, bench.limit(0)).count() == len(texts)
+
+
+def test_passages_do_not_depend_on_the_blocks_of_items(spark, documents):
+    draw = random.Random(11)
+    opening = item(draw, 9)  # words that many items begin with weigh little, in whatever block the items lie
+    items = {i: (opening + " " if i % 3 else "") + item(draw, draw.choice([4, 14, 30])) for i in range(40)}
+    items |= {40: opening, 41: items[1]}
+    texts = {}
+    for d in range(80):
+        passage = items[d % 42].split()
+        for _ in range(draw.choice([0, 1, 2, 3])):
+            passage[draw.randrange(len(passage))] = draw.choice([*opening.split(), "zzzz"])
+        texts[d] = " ".join([item(draw, 20), *passage, opening, item(draw, 5)])
+    bench = spark.createDataFrame([*items.items(), (41, items[1])], "item_id LONG, text STRING")
+    docs = documents(*texts.items())
+    expected = plain_passages(texts, items)
+
+    def found(at_once):
+        got = decontamination.passages(docs, bench, at_once=at_once, radius=31)
+        return sorted((r.doc_id, r.item_id, r.start, r.n_words, round(r.similarity, 9), r.distance) for r in got.collect())
+
+    whole = found(10**6)
+    assert {(d, i) for d, i, *_ in whole} == expected and len(list(decontamination.item_blocks(bench, 200))) > 3
+    assert found(200) == whole
+    some = decontamination.without_passages(docs, bench, at_once=200, radius=31)
+    assert {r.doc_id for r in some.collect()} == set(texts) - {d for d, _ in expected}
+
+
+def test_a_benchmark_of_too_many_common_shingles_is_refused(spark):
+    bench = spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g")], "item_id LONG, text STRING")
+    assert decontamination.frequencies(bench, most=3).count.tolist() == [2, 2, 2]
+    with pytest.raises(ValueError, match="several items"):
+        decontamination.frequencies(bench, most=2)
