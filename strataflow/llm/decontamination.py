@@ -38,6 +38,7 @@ SHINGLES_AT_ONCE = 1_000_000
 COMMON_SHINGLES = 4_000_000
 READ_BYTES = 2_000_000
 WINDOWS_AT_ONCE = 4_096
+PAIRS_AT_ONCE = 1_000_000
 WORDS_KNOWN = 200_000
 FACTORS = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1)) % 2**64 | 1 for i in range(SHINGLE)], np.uint64)
 MATCHES = "doc_id long, item_id long, start long, n_words long, similarity double, distance int"
@@ -118,14 +119,16 @@ class Item:
 
 @dataclass
 class SizeClass:
-    """Items of one number of words: their shingle length, fingerprints, and the blocks they are filed under."""
+    """Items of one number of words: their shingle length and fingerprints, the blocks these are filed under in
+    order, and the item that each entry stands for."""
 
     n_words: int
     shingle: int
     least: float
     items: list[Item]
     marks: np.ndarray
-    filed: list[dict[int, np.ndarray]]
+    filed: np.ndarray
+    place: np.ndarray
 
 
 class Index:
@@ -148,7 +151,10 @@ class Index:
         self.known = np.unique(np.concatenate([hs for *_, hs in parts] or [np.zeros(0, np.uint64)]))
         self.known_weight = frequencies.weights(self.known)
         self.weight = dict(zip(self.known.tolist(), self.known_weight.tolist(), strict=True))
-        self.edges = np.linspace(0, 64, radius + 2).astype(int)
+        edges = np.linspace(0, 64, radius + 2).astype(int).tolist()
+        self.low = np.array(edges[:-1], np.uint64)
+        self.mask = np.array([(1 << b - a) - 1 for a, b in zip(edges, edges[1:], strict=False)], np.uint64)
+        self.number = np.arange(radius + 1, dtype=np.uint64) << np.uint64(32)
         self.classes: list[SizeClass] = []
         by_size: dict[int, list[Item]] = {}
         for item_id, n, hs in parts:
@@ -156,21 +162,17 @@ class Index:
             mark = fingerprints(bit_counts(hs)[-1:], np.array([len(hs)]))[0]
             by_size.setdefault(n, []).append(Item(item_id, n, distinct, sum(map(self.weight.get, distinct)), int(mark)))
         for n, items in sorted(by_size.items()):
-            filed: list[dict[int, list[int]]] = [{} for _ in range(radius + 1)]
-            for i, item in enumerate(items):
-                for b, key in enumerate(self.blocks(item.fingerprint)):
-                    filed[b].setdefault(key, []).append(i)
-            arrays = [{key: np.array(places) for key, places in of_block.items()} for of_block in filed]
             marks = np.array([item.fingerprint for item in items], np.uint64)
+            filed = self.blocks(marks)
+            order = np.argsort(filed, kind="stable")
             least = min(item.weight for item in items)
-            self.classes.append(SizeClass(n, min(SHINGLE, n), least, items, marks, arrays))
+            self.classes.append(SizeClass(n, min(SHINGLE, n), least, items, marks, filed[order], order // (radius + 1)))
         self.gate = np.zeros(1 << 22, bool)
         self.gate[(self.known & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
 
-    def blocks(self, fingerprint: int) -> list[int]:
-        return [
-            fingerprint >> int(a) & (1 << int(b - a)) - 1 for a, b in zip(self.edges, self.edges[1:], strict=False)
-        ]
+    def blocks(self, marks: np.ndarray) -> np.ndarray:
+        """Number and bits of every block of every fingerprint, one fingerprint after the other."""
+        return (marks[:, None] >> self.low & self.mask | self.number).ravel()
 
     def weights(self, hashes: np.ndarray) -> np.ndarray:
         """Weight of each shingle that an item has, 0 for the others."""
@@ -182,16 +184,18 @@ class Index:
             out[maybe[hit]] = self.known_weight[place[hit]]
         return out
 
-    def near(self, mark: int, kind: SizeClass) -> list[tuple[int, int]]:
-        """Places of all items of one size whose fingerprints are within the radius, with their distances."""
-        parts = [kind.filed[b].get(key) for b, key in enumerate(self.blocks(mark))]
-        parts = [p for p in parts if p is not None]
-        if not parts:
-            return []
-        places = np.unique(np.concatenate(parts))
-        distances = np.bitwise_count(kind.marks[places] ^ np.uint64(mark))
-        close = distances <= self.radius
-        return list(zip(places[close].tolist(), distances[close].tolist(), strict=True))
+    def near(self, marks: np.ndarray, kind: SizeClass) -> Iterator[tuple[int, int, int]]:
+        """All pairs within the radius of some windows and the items of one size: their places and distance."""
+        keys = self.blocks(marks)
+        low = np.searchsorted(kind.filed, keys)
+        count = np.searchsorted(kind.filed, keys, side="right") - low
+        window = np.repeat(np.arange(len(keys)) // (self.radius + 1), count)
+        entry = np.arange(len(window)) + np.repeat(low - (np.cumsum(count) - count), count)
+        item = kind.place[entry]
+        close = np.bitwise_count(marks[window] ^ kind.marks[item]) <= self.radius
+        for pair in np.unique(window[close] * len(kind.items) + item[close]).tolist():
+            w, i = divmod(pair, len(kind.items))
+            yield w, i, (int(marks[w]) ^ kind.items[i].fingerprint).bit_count()
 
     def matches(self, hashes: np.ndarray, weights: np.ndarray, kind: SizeClass) -> Iterator[tuple[int, Item, float, int]]:
         """Verified windows of one document, for the items of one size: start, item, similarity, distance."""
@@ -199,20 +203,20 @@ class Index:
         size = min(kind.n_words - kind.shingle + 1, total)
         sums = np.r_[0.0, np.cumsum(weights)]
         starts = np.flatnonzero(sums[size:] - sums[:-size] >= self.similarity * kind.least - 1e-9)
-        for s in range(0, len(starts), WINDOWS_AT_ONCE):
-            part = starts[s : s + WINDOWS_AT_ONCE]
+        at_once = max(1, min(WINDOWS_AT_ONCE, PAIRS_AT_ONCE // len(kind.filed)))
+        for s in range(0, len(starts), at_once):
+            part = starts[s : s + at_once]
             low = part[0]
             counts = bit_counts(hashes[low : part[-1] + size])
             marks = fingerprints(counts[part - low + size] - counts[part - low], np.full(len(part), size))
-            for start, mark in zip(part.tolist(), marks.tolist(), strict=True):
-                for i, distance in self.near(mark, kind):
-                    item = kind.items[i]
-                    window = set(hashes[start : start + size].tolist())
-                    shared = sum(self.weight[h] for h in window & item.shingles)
-                    other = self.frequencies.weights(np.array(list(window - item.shingles), np.uint64)).sum()
-                    similarity = float(shared / (item.weight + other))
-                    if similarity >= self.similarity - 1e-12:
-                        yield start, item, similarity, distance
+            for w, i, distance in self.near(marks, kind):
+                start, item = int(part[w]), kind.items[i]
+                window = set(hashes[start : start + size].tolist())
+                shared = sum(self.weight[h] for h in window & item.shingles)
+                other = self.frequencies.weights(np.array(list(window - item.shingles), np.uint64)).sum()
+                similarity = float(shared / (item.weight + other))
+                if similarity >= self.similarity - 1e-12:
+                    yield start, item, similarity, distance
 
     def passages(self, words: np.ndarray, five: np.ndarray, weights: np.ndarray) -> Iterator[tuple]:
         """item_id, start, n_words, similarity and distance: of windows that overlap, the best for each item."""
