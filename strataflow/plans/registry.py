@@ -21,7 +21,7 @@ from strataflow.operators.dedup import keep_first, total_order, union_sources
 from strataflow.operators.joins import balanced_join
 from strataflow.plans import bronze, daily, gate, gold, manifest, silver
 from strataflow.plans.views import EXTREMES, NUMBERS_IN_TEXT, table, view, view_over
-from strataflow.session import scratch_path
+from strataflow.session import remove_path, scratch_path
 from strataflow.sources import bucketed, catalog, delimited, layers, layout, versions
 from strataflow.streaming import ingest, kpis
 
@@ -113,10 +113,10 @@ def dynamic_overwrite(spark, sf_dir):
     return layers.read_layer(spark, path)
 
 
-def _landed(spark, sf_dir):
+def _landed(spark, sf_dir, names=("contrat2", "contrat1", "client"), packed=False):
     landing = scratch_path(spark, "landing")
-    for (_, file, _), name in zip(c.BRONZE_DATASETS, ["contrat2", "contrat1", "client"], strict=True):
-        delimited.write_delimited(view(spark, sf_dir, name), f"{landing}/{file}")
+    for (_, file, _), name in zip(c.BRONZE_DATASETS, names, strict=True):
+        delimited.write_delimited(view(spark, sf_dir, name), f"{landing}/{file}", packed)
     return landing
 
 
@@ -699,12 +699,13 @@ def silver_by_day(spark, sf_dir):
     """Two days loaded, the second one twice, the last time from fewer files: each day keeps its own snapshot."""
     base, parts = scratch_path(spark, "lake"), daily.SILVER_PARTS
     second = AS_OF + dt.timedelta(days=1)
-    both, newer = _landed(spark, sf_dir), scratch_path(spark, "landing")
-    for (_, file, _), name in zip(c.BRONZE_DATASETS, ["contrat2", "contrat2", "client"], strict=True):
-        delimited.write_delimited(view(spark, sf_dir, name), f"{newer}/{file}")
-    for landing, day in ((both, AS_OF), (both, second), (newer, second)):
-        bronze.ingest_bronze(spark, landing, base, run_day=day)
-        daily.run_silver(spark, base, day, by_day=True)
+    # Landing files are packed, and kept as long as a load reads them: as plain text they take more than all layers.
+    for names, days in ((("contrat2", "contrat1", "client"), (AS_OF, second)), (("contrat2", "contrat2", "client"), (second,))):
+        landing = _landed(spark, sf_dir, names, packed=True)
+        for day in days:
+            bronze.ingest_bronze(spark, landing, base, run_day=day)
+            daily.run_silver(spark, base, day, by_day=True)
+        remove_path(spark, landing)
     stored = layers.read_layer(spark, layers.layer_path(base, "silver", c.SILVER_DATASET))
     return stored.groupBy(*parts).agg(
         F.count(F.lit(1)).alias("n_contracts"), F.sum(money(F.col("prmaco"))).alias("total_premium")

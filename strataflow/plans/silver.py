@@ -102,7 +102,8 @@ DERIVED = ["age_client", "client_jeune", "anciennete_contrat"]
 
 
 def silver_contracts(contrat2: DataFrame, contrat1: DataFrame, clients: DataFrame, as_of: dt.date) -> DataFrame:
-    sources = (contrat2, contrat1)
-    silver = attach_clients(clean_contracts(*sources, as_of=as_of), clients, as_of)
+    # Columns made of a contract's others come after the join, which then need not move them.
+    joined = attach_clients(unique_contracts(contrat2, contrat1), clients, as_of)
+    silver = joined.transform(decode_contracts).transform(derive_seniority, as_of)
     base = [n for n in contrat2.columns if n != c.CLIENT_KEY]
     return silver.select(c.CLIENT_KEY, *base, *DECODED, *c.CLIENT_ATTRIBUTES, *DERIVED)

@@ -62,6 +62,10 @@ def remove_scratch(spark: SparkSession) -> None:
     The program that owns the session calls it at its end: frames that read
     intermediate copies are of no use afterwards.
     """
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    remove_path(spark, scratch_folder(spark))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of the shared folder, with all that is in it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 REJECT_COLUMN = "_corrupt_record"
+PACKED_ROWS = 500_000
 
 
 def scan_delimited(
@@ -35,8 +36,13 @@ def scan_delimited(
     return reader.schema(schema).csv(path if isinstance(path, str) else list(path))
 
 
-def write_delimited(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", "true").csv(path)
+def write_delimited(df: DataFrame, path: str, packed: bool = False) -> None:
+    """CSV with a header line.  ``packed`` files are gzip, a third of the bytes at about the same time; as no task reads a
+    part of one, none has more than ``PACKED_ROWS`` rows."""
+    writer = df.write.mode("overwrite").option("header", "true")
+    if packed:
+        writer = writer.options(compression="gzip", maxRecordsPerFile=PACKED_ROWS, **{"zlib.compress.level": "BEST_SPEED"})
+    writer.csv(path)
 
 
 def split_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 FAILURE = "FAILURE"
 DAY_PARTS = ["year", "month", "day"]
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def layer_path(base: str, layer: str, dataset: str) -> str:
@@ -89,9 +90,9 @@ def audited_write(
     The count sits in the final stage, next to the writer: a shuffle stage that
     runs again after an executor was lost cannot count its rows a second time.
     With ``replace_partitions`` only the folders the rows belong to are replaced.
-    The audit is added to ``log``, that of a write that failed too.
+    The shuffle files of the write are dropped at its end.  The audit is added to ``log``, that of a write that failed too.
     """
-    with audited(layer, dataset, log) as audit:
+    with audited(layer, dataset, log) as audit, shuffles_dropped(df.sparkSession):
         seen = Observation(f"{layer}/{dataset}")
         out = df if files is None else df.coalesce(files)
         writer = out.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.mode(mode)
@@ -102,6 +103,21 @@ def audited_write(
     return WriteAudit(layer, dataset, audit["rows"], audit["seconds"])
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query that runs inside are deleted when it ends, and not when the driver happens to collect
+    garbage; else the writes of a long run have theirs on the executors' disks side by side."""
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
+
+
 @contextmanager
 def audited(layer: str, dataset: str, log: list[WriteAudit] | None = None) -> Iterator[dict]:
     """Times what happens inside and adds its audit to ``log``: SUCCESS with the rows noted, or FAILURE."""
